@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscope.llm import decontaminate, license_scan, mixture, quality_rules, secret_scan
+from payscope.llm import decontaminate, html_text, language_id, license_scan, mixture, quality_rules, secret_scan, toxicity
 from payscope.llm.common import table
 
 
@@ -28,6 +28,20 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_rules, op3_license_scan, op4_decontaminate, op5_mixture)}
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.digest(table(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_quality_rules, op3_license_scan, op4_decontaminate, op5_mixture, op6_html_text, op7_language_id, op10_toxicity,
+)}
 
 ORACLES: dict[str, str] = {}
