@@ -110,4 +110,4 @@ def running_total(df: DataFrame, group: str, order: list[str], value: str, n_row
     sums = df.groupBy(group, "_bucket").agg(F.sum(value).alias("_sum"))
     sums = sums.select(group, "_bucket", F.coalesce(F.sum("_sum").over(across), F.lit(0)).alias("_base"))
     df = df.withColumn("_own", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return df.join(sums, [group, "_bucket"]).withColumn(out, F.col("_base") + F.col("_own")).drop("_bucket", "_base", "_own")
+    return df.join(sums.hint("merge"), [group, "_bucket"]).withColumn(out, F.col("_base") + F.col("_own")).drop("_bucket", "_base", "_own")

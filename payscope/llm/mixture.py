@@ -125,8 +125,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     overlap = F.least((F.col("block") + 1) * BLOCK, F.col("offset") + F.col("size")) - F.greatest(F.col("block") * BLOCK, F.col("offset"))
     inside = inside.select("n_source", "block", "row", overlap.alias("words"))
     times = slots(planned, spark, n_slots, per_shard).groupBy("n_source", "block").agg(F.count("*").alias("times"))
-    taken = inside.join(times, ["n_source", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    out = placed.join(taken, "row", "left")
+    taken = inside.join(times.hint("merge"), ["n_source", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    out = placed.join(taken.hint("merge"), "row", "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
