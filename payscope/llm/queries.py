@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscope.llm import decontaminate, html_text, language_id, license_scan, mixture, near_dedup, quality_rules, secret_scan, toxicity
+from payscope.llm import decontaminate, html_text, language_id, license_scan, mixture, near_dedup, quality_rules, secret_scan, suffix_dedup, toxicity
 from payscope.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -45,7 +49,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_secret_scan, op2_quality_rules, op3_license_scan, op4_decontaminate, op5_mixture, op6_html_text, op7_language_id, op9_near_dedup, op10_toxicity,
+    op1_secret_scan, op2_quality_rules, op3_license_scan, op4_decontaminate, op5_mixture, op6_html_text, op7_language_id, op8_suffix_dedup, op9_near_dedup, op10_toxicity,
 )}
 
 ORACLES: dict[str, str] = {}
