@@ -13,6 +13,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from payscope.llm.license_scan import NORMAL
 
@@ -100,15 +101,17 @@ def blocks_of(benchmark: DataFrame, item_id: str, text: str, window: int, max_wi
     return [every[i : i + max_windows] for i in range(0, len(every), max_windows)] or [[]]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS, carry: str | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_hit, item_ids (sorted as strings), spans in the original text.
 
     spans: array<struct<start, end>> in code points, from the first to the last word of each run of hit words. Null
     and empty texts have no words. Repeated rows each count; an empty benchmark hits nothing; other columns aren't
     read. The benchmark is a stated query set: each block of at most max_windows windows is broadcast and scanned
-    against all rows, without a shuffle."""
+    against all rows, without a shuffle. carry names a column, such as a struct of the whole row, that stands in the
+    result in place of doc_id."""
     spark = docs.sparkSession
-    df = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("_r"), F.expr("cast(array() as array<bigint>)").alias("_i"))
+    first = F.col(f"`{carry}`") if carry else F.col(f"`{doc_id}`").cast("bigint").alias("doc_id")
+    df = docs.select(first, F.col(f"`{text}`").cast("string").cast("binary").alias("_t"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("_r"), F.expr("cast(array() as array<bigint>)").alias("_i"))
     blocks = blocks_of(benchmark, item_id, item_text, window, max_windows)
     for k, block in enumerate(blocks):
         df = _pass(df, spark.sparkContext.broadcast(block), last=k == len(blocks) - 1)
@@ -136,15 +139,17 @@ def _pass(df: DataFrame, block, last: bool) -> DataFrame:
                     spans.append([{"start": at[a][0], "end": at[b - 1][1]} for a, b in ranges])
                 else:
                     spans.append([{"start": a, "end": b} for a, b in ranges])
-            ids = batch.column(0)
+            first = batch.schema.names[0]
             if last:
                 names = [sorted(map(str, x)) for x in items]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, SPANS)], ["doc_id", "n_words", "n_hit", "item_ids", "spans"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, SPANS)], [first, "n_words", "n_hit", "item_ids", "spans"])
             else:
-                yield pa.RecordBatch.from_arrays([ids, batch.column(1), pa.array(spans, SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))], ["doc_id", "_t", "_r", "_i"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, SPANS), pa.array([sorted(x) for x in items], pa.list_(pa.int64()))], [first, "_t", "_r", "_i"])
 
-    spans = "array<struct<start:bigint,end:bigint>>"
-    return df.mapInArrow(run, f"doc_id bigint, n_words bigint, n_hit bigint, item_ids array<string>, spans {spans}" if last else f"doc_id bigint, _t binary, _r {spans}, _i array<bigint>")
+    schema = df.schema
+    if last:
+        schema = T.StructType([schema.fields[0], *T._parse_datatype_string("n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:bigint,end:bigint>>").fields])
+    return df.mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
