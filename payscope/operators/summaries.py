@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payscope.functions.scalars import exact_round, percent
-from payscope.operators.metrics import exact_sum
+from payscope.operators.metrics import exact_mean, exact_sum
 from payscope.plans import schema as S
 from payscope.plans.normalize import band_of
 
@@ -15,9 +15,9 @@ def totals(records: DataFrame) -> DataFrame:
     """One row: numbers by status with their shares, mean latency, volume; null where there is nothing to average."""
     row = records.agg(
         F.count("*").alias("total"), *[F.count_if(F.col("status") == s).alias(s.lower()) for s in ("SUCCESS", "FAILED", "DECLINED")],
-        exact_sum(F.col("latency_ms")).alias("latency"), F.count("latency_ms").alias("n"), exact_sum(F.col("volume")).alias("volume"))
+        exact_mean(F.col("latency_ms")).alias("latency"), exact_sum(F.col("volume")).alias("volume"))
     shares = [percent(F.col(c), F.col("total"), 1).alias(f"{c}_pct") for c in ("success", "failed", "declined")]
-    return row.select("total", "success", "failed", "declined", *shares, exact_round(F.col("latency") / F.when(F.col("n") > 0, F.col("n")), 1).alias("avg_latency"), exact_round(F.col("volume"), 2).alias("total_volume"))
+    return row.select("total", "success", "failed", "declined", *shares, exact_round(F.col("latency"), 1).alias("avg_latency"), exact_round(F.col("volume"), 2).alias("total_volume"))
 
 
 def error_histogram(records: DataFrame, order: str = "_ord") -> DataFrame:
@@ -48,9 +48,8 @@ def file_snapshot(records: DataFrame) -> DataFrame:
     """For each file: number, success rate, mean latency and volume, and its confidence bands."""
     ok = F.count_if(F.col("status") == "SUCCESS")
     bands = [F.count_if(band_of(F.col("confidence")) == b).alias(b.lower()) for b, _ in S.BANDS]
-    mean = exact_sum(F.col("latency_ms")) / F.when(F.count("latency_ms") > 0, F.count("latency_ms"))
     return records.groupBy("source_file").agg(
-        F.count("*").alias("total_ops"), percent(ok, F.count("*")).alias("success_rate_pct"), exact_round(mean, 2).alias("avg_latency_ms"),
+        F.count("*").alias("total_ops"), percent(ok, F.count("*")).alias("success_rate_pct"), exact_round(exact_mean(F.col("latency_ms")), 2).alias("avg_latency_ms"),
         exact_round(exact_sum(F.col("volume")), 2).alias("total_volume"), *bands)
 
 

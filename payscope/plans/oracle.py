@@ -13,6 +13,11 @@ def rounded(x: str, places: int) -> str:
     return f"((CASE WHEN {p}-floor({p})<0.5 THEN floor({p}) WHEN {p}-floor({p})>0.5 THEN floor({p})+1 WHEN {e}<0 THEN floor({p}) WHEN {e}>0 THEN floor({p})+1 WHEN floor({p})::BIGINT%2=0 THEN floor({p}) ELSE floor({p})+1 END)/{s})"
 
 
+def mean(x: str) -> str:
+    """The mean of non-negative doubles, as in operators.metrics."""
+    return f"(sum(floor({x}*1048576.0::DOUBLE)::HUGEINT)::DOUBLE/(count({x})*1048576.0::DOUBLE)+sum(floor(({x}*1048576.0::DOUBLE-floor({x}*1048576.0::DOUBLE))*1099511627776.0::DOUBLE)::HUGEINT)::DOUBLE/(count({x})*1152921504606846976.0::DOUBLE))"
+
+
 RAW = """raw AS (
   SELECT event_id k, 'tx-' || CASE WHEN event_id % 101 = 5 THEN event_id - 4 ELSE event_id END id,
     CASE WHEN event_id % 97 = 0 THEN '' ELSE 'PSP_' || event_id % 6 END psp, c_mktsegment bank, lower(n_name) country,
@@ -47,9 +52,9 @@ records AS (
       ELSE CASE status WHEN 'SUCCESS' THEN 'INFO' WHEN 'FAILED' THEN 'HIGH' WHEN 'DECLINED' THEN 'MEDIUM' ELSE 'HIGH' END END severity FROM r3),
 valid AS (SELECT * FROM records WHERE is_valid)"""
 
-FIGURES = """count(*) total_ops, count(*) FILTER (status = 'SUCCESS') success_ops, count(*) FILTER (status <> 'SUCCESS' OR status IS NULL) failed_ops, count(*) FILTER (error = 'DECLINED') decline_ops,
+FIGURES = f"""count(*) total_ops, count(*) FILTER (status = 'SUCCESS') success_ops, count(*) FILTER (status <> 'SUCCESS' OR status IS NULL) failed_ops, count(*) FILTER (error = 'DECLINED') decline_ops,
     count(*) FILTER (status <> 'SUCCESS' AND error IN ('NETWORK_ERROR', 'TIMEOUT', 'INSUFFICIENT_FUNDS')) error_count, count(*) FILTER (error = 'TIMEOUT') timeouts,
-    sum(latency_ms::DECIMAL(28,10))::DOUBLE / count(latency_ms) mean, list_sort(list(latency_ms) FILTER (latency_ms IS NOT NULL)) ls, max(latency_ms) top, sum(volume::DECIMAL(28,10))::DOUBLE vs"""
+    {mean('latency_ms')} mean, list_sort(list(latency_ms) FILTER (latency_ms IS NOT NULL)) ls, max(latency_ms) top, sum(volume::DECIMAL(28,10))::DOUBLE vs"""
 
 _RATES = "success_ops::DOUBLE / total_ops * 100 sr, decline_ops::DOUBLE / total_ops * 100 dr, error_count::DOUBLE / total_ops * 100 er, (total_ops - timeouts)::DOUBLE / total_ops * 100 jr, ls[greatest(0, len(ls) * 50 // 100 - 1) + 1] q50, ls[greatest(0, len(ls) * 95 // 100 - 1) + 1] q95"
 

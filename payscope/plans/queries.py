@@ -127,7 +127,7 @@ def error_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(O.query(f"SELECT total, success, failed, declined, {O.rounded('a', 1)} success_pct, {O.rounded('b', 1)} failed_pct, {O.rounded('c', 1)} declined_pct, {O.rounded('mean', 1)} avg_latency, {O.rounded('vol', 2)} total_volume FROM t",
-    "t0 AS (SELECT count(*) total, count(*) FILTER (status = 'SUCCESS') success, count(*) FILTER (status = 'FAILED') failed, count(*) FILTER (status = 'DECLINED') declined, sum(latency_ms::DECIMAL(28,10))::DOUBLE / count(latency_ms) mean, sum(volume::DECIMAL(28,10))::DOUBLE vol FROM valid)",
+    "t0 AS (SELECT count(*) total, count(*) FILTER (status = 'SUCCESS') success, count(*) FILTER (status = 'FAILED') failed, count(*) FILTER (status = 'DECLINED') declined, " + O.mean("latency_ms") + " mean, sum(volume::DECIMAL(28,10))::DOUBLE vol FROM valid)",
     "t AS (SELECT *, success::DOUBLE / total * 100 a, failed::DOUBLE / total * 100 b, declined::DOUBLE / total * 100 c FROM t0)"))
 def executive_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.totals(valid(spark, sf_dir))
@@ -196,7 +196,7 @@ def withdrawal_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(O.query(f"SELECT source_file, total_ops, {O.rounded('sr', 2)} success_rate_pct, {O.rounded('mean', 2)} avg_latency_ms, {O.rounded('vol', 2)} total_volume, high, medium, low, critical FROM t",
-    "t AS (SELECT source_file, count(*) total_ops, count(*) FILTER (status = 'SUCCESS')::DOUBLE / count(*) * 100 sr, sum(latency_ms::DECIMAL(28,10))::DOUBLE / count(latency_ms) mean, sum(volume::DECIMAL(28,10))::DOUBLE vol, count(*) FILTER (confidence >= 0.85) high, count(*) FILTER (confidence >= 0.7 AND confidence < 0.85) medium, count(*) FILTER (confidence >= 0.5 AND confidence < 0.7) low, count(*) FILTER (confidence < 0.5) critical FROM valid GROUP BY source_file)"))
+    "t AS (SELECT source_file, count(*) total_ops, count(*) FILTER (status = 'SUCCESS')::DOUBLE / count(*) * 100 sr, " + O.mean("latency_ms") + " mean, sum(volume::DECIMAL(28,10))::DOUBLE vol, count(*) FILTER (confidence >= 0.85) high, count(*) FILTER (confidence >= 0.7 AND confidence < 0.85) medium, count(*) FILTER (confidence >= 0.5 AND confidence < 0.7) low, count(*) FILTER (confidence < 0.5) critical FROM valid GROUP BY source_file)"))
 def audit_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.file_snapshot(valid(spark, sf_dir))
 
