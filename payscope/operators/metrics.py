@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.functions.scalars import exact_round, percent, stripped
+from payscope.functions.scalars import rounded_column, stripped
 from payscope.plans import schema as S
 
 
@@ -49,17 +49,16 @@ def figures() -> list[Column]:
 
 def finished(df: DataFrame) -> DataFrame:
     """Columns METRIC from figures() and p50/p95."""
-    total, starts = F.col("total_ops"), F.when(F.col("starts") == 0, F.col("total_ops")).otherwise(F.col("starts"))
-    done = starts - F.col("timeouts")
-    rate = percent(F.col("success_ops"), total)
-    return df.select(
-        "psp", "bank", "country", "total_ops", "success_ops", (total - F.col("success_ops")).alias("failed_ops"), "decline_ops", "error_count",
-        rate.alias("success_rate_%"), percent(F.col("decline_ops"), total).alias("decline_rate_%"), percent(F.col("error_count"), total).alias("error_rate_%"), rate.alias("conversion_rate_%"),
-        total.alias("total_withdrawals_checked"), starts.alias("job_starts"), done.alias("job_finishes"), percent(done, starts).alias("job_completion_rate_%"),
-        F.coalesce(exact_round(F.col("latency_mean"), 2), F.lit(0.0)).alias("avg_latency_ms"),
-        F.coalesce(exact_round(F.col("p50"), 2), F.lit(0.0)).alias("p50_latency_ms"), F.coalesce(exact_round(F.col("p95"), 2), F.lit(0.0)).alias("p95_latency_ms"),
-        F.coalesce(exact_round(F.col("latency_max"), 2), F.lit(0.0)).alias("max_latency_ms"), F.coalesce(exact_round(F.col("volume_sum"), 2), F.lit(0.0)).alias("transaction_total_volume"),
-    )
+    df = df.withColumn("job_starts", F.when(F.col("starts") == 0, F.col("total_ops")).otherwise(F.col("starts"))).withColumn("job_finishes", F.col("job_starts") - F.col("timeouts"))
+    share = lambda part, whole: (F.col(part).cast("double") / F.when(F.col(whole) != 0, F.col(whole)).cast("double") * 100.0)
+    df = df.select(
+        "*", share("success_ops", "total_ops").alias("_success"), share("decline_ops", "total_ops").alias("_decline"), share("error_count", "total_ops").alias("_error"), share("job_finishes", "job_starts").alias("_done"))
+    # rounded once and named here: nothing above repeats the expressions
+    numbers = {"_success": "success_rate_%", "_decline": "decline_rate_%", "_error": "error_rate_%", "_done": "job_completion_rate_%", "latency_mean": "avg_latency_ms", "p50": "p50_latency_ms", "p95": "p95_latency_ms", "latency_max": "max_latency_ms", "volume_sum": "transaction_total_volume"}
+    df = df.select(
+        "psp", "bank", "country", "total_ops", "success_ops", (F.col("total_ops") - F.col("success_ops")).alias("failed_ops"), "decline_ops", "error_count",
+        F.col("total_ops").alias("total_withdrawals_checked"), "job_starts", "job_finishes", *[F.coalesce(rounded_column(c, 2), F.lit(0.0)).alias(n) for c, n in numbers.items()])
+    return df.withColumn("conversion_rate_%", F.col("`success_rate_%`")).select(*[F.col(f"`{c}`") for c in S.METRIC])
 
 
 def lower_rank(df: DataFrame, keys: list[str], value: str, percents: tuple[int, ...]) -> DataFrame:
