@@ -94,7 +94,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     Null and empty texts, texts without a letter, and all texts where nothing was learned give `und` and 0. Every row
     stays, repeated ones too. Ties go to the first language in code point order."""
     names = sorted(prototypes)
-    matrix = np.array([prototypes[k] for k in names], np.float32).reshape(len(names), -1)
+    matrix = np.array([prototypes[k] for k in names], np.float32)
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text_read"))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 

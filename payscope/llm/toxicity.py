@@ -92,7 +92,10 @@ class Chain:
         """P(toxic) of each active word, by forward-backward over all n words."""
         forward, m, at = [], np.array([1.0, 1.0]), -1
         for i, e in active:
-            m = self._cross(m, i - at - 1, True)
+            if at < 0 and i:  # the text's first word has no word before it
+                m = self._cross(np.array([1.0, math.exp(self.bias)]), i - 1, True)
+            elif i:
+                m = self._cross(m, i - at - 1, True)
             m = (m @ self.t if i else m) * np.array([1.0, math.exp(min(e, 50.0))])
             m = m / m.sum()
             forward.append(m)
