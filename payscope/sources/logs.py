@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.functions.scalars import filled, number, number_text, stripped
+from payscope.functions.scalars import filled, let, number, number_text, stripped
 from payscope.plans import schema as S
 from payscope.plans.normalize import is_withdrawal
 
@@ -37,6 +37,10 @@ def fields(line: Column) -> Column:
 
 def truthy(v: Column) -> Column:
     """A variant as text; null where it is null, false, zero, empty or a nested value without content."""
+    return let(v, _truthy)
+
+
+def _truthy(v: Column) -> Column:
     kind = F.schema_of_variant(v)
     text = F.try_variant_get(v, "$", "string")
     size = F.try_variant_get(v, "$", "double")
