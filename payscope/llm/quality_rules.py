@@ -94,4 +94,4 @@ def apply_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hos
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns of op2."""
-    return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule_failed", "host_rate")
+    return apply_rules(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule_failed", F.round("host_rate", 6).alias("host_rate"))
