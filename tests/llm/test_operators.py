@@ -259,6 +259,15 @@ def components_of(rows):
     return [(i, len(s), least[label[k]], i is not None and i == least[label[k]]) for k, (i, s) in enumerate(sets)]
 
 
+def test_union_overlap():
+    import numpy as np
+
+    for _ in range(50):
+        a, *others = [np.sort(np.array(RNG.sample(range(40), 12), np.uint64)) for _ in range(6)]
+        want = [len(set(sorted(set(a) | set(b))[:12]) & set(a) & set(b)) for b in others]
+        assert near_dedup.union_overlap(a, np.stack(others), 12).tolist() == want
+
+
 @pytest.mark.parametrize("size", [near_dedup.MAX_SHINGLES, 150])
 def test_near_duplicates(spark, docs, none, size):
     same([tuple(r) for r in near_dedup.find(docs, max_shingles=size).collect()], components_of([r[:2] for r in ROWS]))
