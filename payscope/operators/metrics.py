@@ -10,9 +10,9 @@ from payscope.plans import schema as S
 
 
 def label(c: Column) -> Column:
-    """Trimmed text, UNKNOWN where there is none."""
+    """Trimmed text, UNKNOWN where there is none. Never null for the planner either: joins on it add no filters."""
     t = stripped(c)
-    return F.when(t.isNull() | (t == ""), "UNKNOWN").otherwise(t)
+    return F.coalesce(F.when(t != "", t), F.lit("UNKNOWN"))
 
 
 def exact_sum(c: Column) -> Column:
@@ -66,8 +66,10 @@ def lower_rank(df: DataFrame, keys: list[str], value: str, percents: tuple[int,
 
     Equal values are counted before they move. A group's values are cut into ranges one wide; ranges are summed over,
     and only the range that holds a place is ranked, so a hot group is spread over as many tasks as it has ranges.
-    Nulls are left out; groups without values don't appear. Values must be finite."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.floor(value).alias("_range"), F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
+    Nulls are left out; groups without values don't appear. Values must be finite. The counts are read twice; as their
+    keys can't be null, both readers plan the same exchange and it is made once."""
+    present = df.where(F.col(value).isNotNull()).select(*keys, F.coalesce(F.floor(value), F.lit(0)).alias("_range"), F.coalesce(F.col(value), F.lit(0)).alias("_value"))
+    counts = present.groupBy(*keys, "_range", "_value").agg(F.count("*").alias("_n"))
     by_key = Window.partitionBy(*keys)
     ranges = counts.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
     ranges = ranges.withColumn("_before", F.sum("_in").over(by_key.orderBy("_range")) - F.col("_in")).withColumn("_all", F.sum("_in").over(by_key))
