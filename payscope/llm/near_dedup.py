@@ -89,8 +89,13 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, k: int) -> Dat
 
 
 def needed(n: int, k: int, least: int, percent: int) -> int:
-    """Values that the sketches of a set of n and of any linked set share; all of a small set is in its sketch."""
-    return min(least, -(-n * percent // 100)) if n > k else -(-n * percent // 100)
+    """Values that the sketches of a set of n and of any linked set share, one at least.
+
+    All of a small set is in its sketch, but a linked set of m > k values may hold m - k of the shared ones outside its own."""
+    if n > k:
+        return min(least, -(-n * percent // 100))
+    linked = range(-(-n * percent // 100), n * 100 // percent + 1)
+    return max(1, min(-(-percent * (n + m) // (100 + percent)) - max(0, m - k) for m in linked))
 
 
 def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
@@ -98,7 +103,8 @@ def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFram
     values = classes.select("key", "n_shingles", F.explode("sketch").alias("v"))
     counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     known = values.join(counts.hint("merge"), "v")
-    need = F.when(F.col("n_shingles") > k, F.least(F.lit(least), F.ceil(F.col("n_shingles") * percent / 100))).otherwise(F.ceil(F.col("n_shingles") * percent / 100))
+    small = F.array(*[F.lit(needed(n, k, least, percent)) for n in range(1, k + 1)])
+    need = F.when(F.col("n_shingles") > k, F.least(F.lit(least), F.ceil(F.col("n_shingles") * percent / 100))).otherwise(F.get(small, (F.col("n_shingles") - 1).cast("int")))
     # what is left of the prefix once values of a single class, the rarest, have taken their places in it
     by_class = known.groupBy("key", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # sketch - need + 1 places, less the (sketch - known) single values: known - need + 1

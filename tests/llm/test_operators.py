@@ -281,6 +281,16 @@ def test_near_duplicates(spark, docs, none, size):
     assert near_dedup.digest(none).count() == 0
 
 
+def test_near_duplicates_at_the_sketch_size(spark):
+    rng, rows = random.Random(9), []
+    for i in range(60):
+        w = [f"w{rng.randrange(10**9)}" for _ in range(33)]
+        # 24 shingles, inside 29 or 30 of them
+        rows += [(2 * i, " ".join(w[:27])), (2 * i + 1, " ".join(w[: 32 + i % 2]))]
+    same([tuple(r) for r in near_dedup.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()], components_of(rows))
+    assert [near_dedup.needed(n, 24, 10, 80) for n in (1, 5, 20, 24, 25)] == [1, 4, 16, 18, 10]
+
+
 def test_toxicity(spark, docs, none):
     bad = ["scum", "idiot", "loweiung", "loweikeit", "moron"]
     rows, labels = [], []
