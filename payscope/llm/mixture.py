@@ -2,7 +2,8 @@
 
 Main path: SQL expressions only. Each source's documents, in a hashed order, form one stream of words that is cut
 into blocks of BLOCK words. Output shards draw how many slots each source gets; a source's slots run through a
-pseudorandom permutation of its block indices, again and again, and blocks are joined to slots by index.
+pseudorandom permutation of its block indices, again and again, and blocks are joined to slots by index. The output is
+one row for each filled slot with the words of its block; what each document gives is counted from those rows.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import SPACE, let, lookup, materialize, running_total
+from payscope.llm.common import SPACE, let, lookup, materialize, release, running_total
 
 BLOCK = 64
 #: Slots of an output shard for each source, and the least number of slots of a shard.
@@ -87,7 +88,7 @@ def plan(sources: DataFrame) -> tuple[DataFrame, int, int]:
 
 
 def slots(sources: DataFrame, spark: SparkSession, n_slots: int, per_shard: int) -> DataFrame:
-    """(n_source, shard, block, epoch): one row for each slot that is filled.
+    """(n_source, shard, slot, block, epoch): one row for each slot that is filled; a shard's slots are in permuted order.
 
     A shard's counts are a multinomial draw by systematic points (j + u) / slots, u hashed from the shard: each count
     has the multinomial mean, at most one off. Slot k of a source, over all shards, reads block permuted(k mod blocks)."""
@@ -96,36 +97,75 @@ def slots(sources: DataFrame, spark: SparkSession, n_slots: int, per_shard: int)
     # every shard draws from every source: with per_shard >= SLOTS_PER_SOURCE * sources these are slots / SLOTS_PER_SOURCE rows
     df = sources.where("slots > 0").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     u = _uniform("shard", F.lit("shard"))
-    count = F.greatest(F.lit(0), F.least(size, F.ceil(size * F.col("upper") - u)) - F.greatest(F.lit(0), F.ceil(size * F.col("lower") - u)))
-    df = df.select("n_source", "n_blocks", "shard", count.cast("long").alias("count")).where("count > 0")
+    begin = F.greatest(F.lit(0), F.ceil(size * F.col("lower") - u)).cast("long")
+    count = F.greatest(F.lit(0), F.least(size, F.ceil(size * F.col("upper") - u)) - begin)
+    df = df.select("n_source", "n_blocks", "shard", size.cast("long").alias("size"), begin.alias("begin"), count.cast("long").alias("count")).where("count > 0")
     df = df.withColumn("hash", F.shiftrightunsigned(F.xxhash64("shard", F.lit("order")), 2))
     df = running_total(df, "n_source", ["hash", "shard"], "count", shards, "first")
     df = df.withColumn("k", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)))
     df = df.where(F.col("k") < F.lit(MAX_TIMES) * F.col("n_blocks"))
     block = permuted(F.col("k") % F.col("n_blocks"), F.col("n_blocks"), F.col("n_source"))
-    return df.select("n_source", "shard", block.alias("block"), F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"))
+    slot = permuted(F.col("begin") + F.col("k") - F.col("first"), F.col("size"), F.col("shard"))
+    return df.select("n_source", "shard", slot.alias("slot"), block.alias("block"), F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row for each row of docs: doc_id, source, size, source_size, target, taken.
+def pieces(placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """(n_source, block, at, row, doc_id, words, text): the words of each document in each block that it reaches into."""
+    inside = placed.where("size > 0").join(texts.hint("merge"), "row")
+    words = F.filter(F.split("text", SPACE, -1), lambda w: w != "")
 
-    Null and empty texts have size 0 and take none. Null sources form one source, the last. Repeated rows are rows of
-    their own, told apart within the stream by a number; empty tables give no rows."""
+    def cut(all_words: Column) -> Column:
+        def piece(block: Column) -> Column:
+            first = F.greatest(block * BLOCK, F.col("offset"))
+            n = F.least((block + 1) * BLOCK, F.col("offset") + F.col("size")) - first
+            taken = F.slice(all_words, (first - F.col("offset") + 1).cast("int"), n.cast("int"))
+            return F.struct(block.alias("block"), first.alias("at"), n.alias("words"), F.array_join(taken, " ").alias("text"))
+
+        return F.transform(F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((F.col("offset") + F.col("size") - 1) / BLOCK)), piece)
+
+    return inside.select("n_source", "row", "doc_id", F.explode(let(words, cut)).alias("p")).select("n_source", "p.block", "p.at", "row", "doc_id", "p.words", "p.text")
+
+
+def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs with their places in the streams, and the rows of the mix, written to the shared folder."""
     spark = docs.sparkSession
-    narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), n_words(F.col(f"`{text}`")).alias("size"))
-    narrow = materialize(narrow.withColumn("hash", F.shiftrightunsigned(F.xxhash64("doc_id", "source"), 2)).withColumn("row", F.monotonically_increasing_id()))
+    read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), F.col(f"`{text}`").cast("string").alias("text"), n_words(F.col(f"`{text}`")).alias("size"))
+    # the text is written with the row's number, which another reading of docs may give anew
+    read = materialize(read.withColumn("hash", F.shiftrightunsigned(F.xxhash64("doc_id", "source"), 2)).withColumn("row", F.monotonically_increasing_id()))
+    narrow = read.drop("text")
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
     planned, n_slots, per_shard = plan(sources.select("source", "source_size"))
     planned = materialize(planned)
     n_rows, n_sources = narrow.count(), planned.count()
     keyed = _with_source(narrow, planned.select("source", "n_source", "source_size", "target"), n_sources)
-    placed = running_total(keyed, "n_source", ["hash", "doc_id", "row"], "size", n_rows, "offset")
-    placed = materialize(placed)
-    inside = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((F.col("offset") + F.col("size") - 1) / BLOCK))))
-    overlap = F.least((F.col("block") + 1) * BLOCK, F.col("offset") + F.col("size")) - F.greatest(F.col("block") * BLOCK, F.col("offset"))
-    inside = inside.select("n_source", "block", "row", overlap.alias("words"))
-    times = slots(planned, spark, n_slots, per_shard).groupBy("n_source", "block").agg(F.count("*").alias("times"))
-    taken = inside.join(times.hint("merge"), ["n_source", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    placed = materialize(running_total(keyed, "n_source", ["hash", "doc_id", "row"], "size", n_rows, "offset"))
+    parts = pieces(placed.select("row", "n_source", "doc_id", "size", "offset"), read.select("row", "text"))
+    # 64 words at most, so 64 pieces at most
+    packed = parts.groupBy("n_source", "block").agg(F.sort_array(F.collect_list(F.struct("at", "row", "doc_id", "words", "text"))).alias("ps"))
+    drawn = slots(planned, spark, n_slots, per_shard).join(packed.hint("merge"), ["n_source", "block"])
+    names = planned.select("n_source", "source")
+    drawn = lookup(drawn, names, "n_source", n_sources)
+    out = drawn.select("shard", "slot", "source", "block", "epoch", F.array_join(F.col("ps.text"), " ").alias("text"), F.transform("ps", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["row"].alias("row"), p["words"].alias("words"))).alias("pieces"))
+    out = materialize(out)
+    release(read)
+    return placed, out
+
+
+def output(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix, one row for each filled slot: shard, slot, source, block, epoch, text, pieces.
+
+    text is the block's words, one space apart (white space between words isn't kept); pieces tells, in order, the
+    doc_id, the number of the row and the count of words of each document in it. A source's last block may be short."""
+    return _mixed(docs, doc_id, text, source)[1]
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """One row for each row of docs: doc_id, source, size, source_size, target, taken, counted from the rows of output().
+
+    Null and empty texts have size 0 and take none. Null sources form one source, the last. Repeated rows are rows of
+    their own, told apart within the stream by a number; empty tables give no rows."""
+    placed, mixed = _mixed(docs, doc_id, text, source)
+    taken = mixed.select(F.explode("pieces").alias("p")).groupBy("p.row").agg(F.sum("p.words").alias("taken"))
     out = placed.join(taken.hint("merge"), "row", "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 

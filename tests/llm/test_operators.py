@@ -173,6 +173,31 @@ def test_mixture(docs, none):
     assert mixture.digest(none).count() == 0
 
 
+def test_mixture_output_holds_the_words(docs, none):
+    rows = mixture.output(docs).collect()
+    words = collections.defaultdict(list)
+    for i, t, _, source, *_ in ROWS:
+        words[source] += re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    assert rows and len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+    blocks, taken = {}, collections.Counter()
+    for r in rows:
+        n = len(r["text"].split(" "))
+        assert n == sum(p["words"] for p in r["pieces"]) <= mixture.BLOCK and 0 <= r["epoch"] < 3
+        assert blocks.setdefault((r["source"], r["block"]), r["text"]) == r["text"]
+        for p in r["pieces"]:
+            taken[p["doc_id"]] += p["words"]
+    for source in {k[0] for k in blocks}:
+        own = [t for (s, _), t in blocks.items() if s == source]
+        got = collections.Counter(w for t in own for w in t.split(" "))
+        assert not got - collections.Counter(words[source])
+        if len(own) == -(-len(words[source]) // mixture.BLOCK):
+            assert got == collections.Counter(words[source])
+    want = collections.Counter()
+    for r in mixture.mix(docs).collect():
+        want[r["doc_id"]] += r["taken"]
+    assert +want == taken and mixture.output(none).count() == 0
+
+
 def test_mixture_targets_and_permutation(spark):
     sizes = {"a": 100, "b": 10, "c": 1000, None: 5}
     left, weight, target = sum(sizes.values()), dict(zip(sizes, (1, 2, 3, 1), strict=True)), {}
