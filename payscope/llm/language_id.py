@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 512
 SEED = 20011
-#: Expected number of documents that prototypes are learned from: a hashed sample of the labelled ones.
+#: Expected number of documents of each language that its prototype is learned from, a hashed sample; all of a language with fewer.
 TRAIN_DOCS = 4000
 UNKNOWN = "und"
 #: Symbols: 0 what isn't a letter, 1-26 a-z, others by a hash of their code point.
@@ -66,11 +66,11 @@ def sampled(key: Column, salt: str, fraction: float) -> Column:
 def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
     """Prototypes from (doc_id, text, lang). Rows with a null text or lang are skipped.
 
-    Reads all rows to count them, learns from about train_docs of them; what reaches the driver is a vector for each
-    language and each of 8 tasks."""
+    Reads all rows to count each language's, learns from about train_docs of each language, so that none is lost among
+    many rows of others; what reaches the driver is a count and, from each of 8 tasks, a vector for each language."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
-    n = rows.count()
-    if not n:
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
         return {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +81,13 @@ def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.nda
                     sums[lang] = sums.get(lang, 0) + v / np.linalg.norm(v)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.astype("<f8").tobytes() for v in sums.values()], pa.binary())], ["lang", "v"])
 
-    sample = rows.where(sampled(F.col("doc_id"), "language", train_docs / n)).select("text", "lang").repartition(8)
+    chosen = F.lit(True)
+    often = {lang: n for lang, n in counts.items() if n > train_docs}
+    if often:
+        limits = F.create_map(*[F.lit(x) for lang, n in often.items() for x in (lang, int(train_docs / n * (1 << 53)))])
+        # a language with few documents has no limit
+        chosen = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language")), 11) < F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(1 << 53))
+    sample = rows.where(chosen).select("text", "lang").repartition(8)
     out: dict[str, np.ndarray] = {}
     for lang, v in sorted((r["lang"], bytes(r["v"])) for r in sample.mapInArrow(run, "lang string, v binary").collect()):
         out[lang] = out.get(lang, 0) + np.frombuffer(v, "<f8")

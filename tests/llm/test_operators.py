@@ -241,6 +241,12 @@ def test_language(spark, docs, none):
     assert language_id.digest(docs).count() == len(ROWS) and language_id.digest(none).count() == 0
 
 
+def test_language_with_few_documents_is_learned(spark):
+    rows = [(i, prose(8), "en") for i in range(3000)] + [(3000 + i, prose(8, GERMAN), "de") for i in range(3)]
+    found = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=20)
+    assert set(found) == {"de", "en"}
+
+
 def passages(rows):
     texts = [(i, (t or "").encode()) for i, t in rows]
     seen = collections.Counter(b[s : s + 400] for _, b in texts for s in range(len(b) - 399))
