@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import materialize
+from payscope.llm.common import BROADCAST_ROWS, lookup, materialize
 
 LENGTH = 400
 GRAM = 64
@@ -29,6 +29,8 @@ REACH = LENGTH - GRAM
 #: Contexts of one name from which they are dealt to tasks by what stands beside the sample, too.
 MANY = 256
 HALF = REACH // 2
+#: Contexts that one task compares; the strings of more are counted by task, step and hash, so no task gathers them.
+CROWD = 4096
 #: Places that one array of sort keys covers.
 STRETCH = 1 << 21
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -186,7 +188,7 @@ def _batch(columns: list, types: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], list(types))
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans.
 
     spans: array<struct<start, end>> of the removed bytes. Null and empty texts have no bytes. A text of LENGTH bytes
@@ -207,7 +209,16 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     several = by_context.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1")
     asked = by_context.join(several.hint("merge"), "name").select("w.sha", F.struct("name", "ctx", "n", "kinds", "w.place").alias("q")).groupBy("sha").agg(F.collect_list("q").alias("qs"))
     bytes_of = asked.hint("merge").join(held.select("sha", "_t"), "sha").mapInArrow(_contexts, "task binary, low int, high int, name bigint, ctx bigint, n bigint, left int, bytes binary")
-    answers = materialize(bytes_of.groupBy("task").applyInArrow(_compared, "name bigint, ctx bigint, low int, high int"))
+    bytes_of = materialize(bytes_of)
+    crowded = materialize(bytes_of.groupBy("task").count().where(F.col("count") > crowd).select("task"))
+    n_crowded = crowded.count()
+    few = bytes_of
+    if n_crowded:
+        crowded = F.broadcast(crowded) if n_crowded <= BROADCAST_ROWS else crowded.hint("merge")
+        few = bytes_of.join(crowded, "task", "left_anti").select(bytes_of.columns)
+    answers = materialize(few.groupBy("task").applyInArrow(_compared, "name bigint, ctx bigint, low int, high int"))
+    if n_crowded:
+        answers = answers.unionByName(_counted(bytes_of.join(crowded, "task", "left_semi").select(bytes_of.columns)))
     answers = answers.groupBy("name", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     known = by_context.select("name", "ctx", "n").join(answers.hint("merge"), ["name", "ctx"], "left")
     found = places.join(known.hint("merge"), ["name", "ctx"])
@@ -284,6 +295,28 @@ def _compared(group: pa.Table) -> pa.Table:
     return pa.table({"name": group["name"], "ctx": group["ctx"], "low": pa.array(lows, pa.int32()), "high": pa.array(highs, pa.int32())})
 
 
+def _counted(contexts: DataFrame) -> DataFrame:
+    """(name, ctx, low, high) like _compared, from counts of the strings of each task and step."""
+    starts = contexts.mapInArrow(_strings, "name bigint, ctx bigint, n bigint, step int, key binary")
+    twice = materialize(starts.groupBy("key").agg(F.sum("n").alias("times")).where("times > 1"))
+    found = lookup(starts, twice, "key", twice.count()).where("times IS NOT NULL")
+    return materialize(found.groupBy("name", "ctx").agg((-F.max("step")).cast("int").alias("low"), (F.lit(LENGTH) - F.min("step")).cast("int").alias("high")))
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    types = {"name": pa.int64(), "ctx": pa.int64(), "n": pa.int64(), "step": pa.int32(), "key": pa.binary()}
+    for batch in batches:
+        for r in batch.to_pylist():
+            raw, left = np.frombuffer(r["bytes"], np.uint8), r["left"]
+            # a string that begins step bytes before the sample
+            steps = np.arange(max(r["low"], left + LENGTH - len(raw)), min(r["high"], left) + 1)
+            if len(raw) < LENGTH or not len(steps):
+                continue
+            names = POWERS.strings(raw, LENGTH)[left - steps]
+            keys = [r["task"] + int(k).to_bytes(2, "big") + x.tobytes() for k, x in zip(steps, names, strict=True)]
+            yield _batch([[r["name"]] * len(keys), [r["ctx"]] * len(keys), [r["n"]] * len(keys), steps, keys], types)
+
+
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = {"sha": pa.binary(), "n_removed": pa.int64(), "kept_sha256": pa.string(), "spans": RANGES}
     for batch in batches:

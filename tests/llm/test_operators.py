@@ -275,6 +275,15 @@ def test_repeated_passages(spark, docs, none):
     assert suffix_dedup.digest(none).count() == 0
 
 
+def test_crowded_names_are_counted(spark):
+    rng = random.Random(3)
+    passage, rows = prose(100), []
+    for i in range(20):
+        rows.append((i, f"{i} {prose(rng.randint(1, 30))} {passage[rng.randint(0, 60) : len(passage) - rng.randint(0, 60)]} {prose(rng.randint(1, 30))}"))
+    got = suffix_dedup.find(spark.createDataFrame(rows, "doc_id long, text string"), crowd=2).drop("spans")
+    same([tuple(r) for r in got.collect()], passages(rows))
+
+
 def components_of(rows):
     sets = []
     for i, t in rows:
