@@ -1,19 +1,18 @@
 """Mixing sources to target weights: fixed-length blocks of words, drawn by source for each output shard.
 
-Main path: SQL expressions only. Each source's documents, in a hashed order, form one stream of words that is cut
-into blocks of BLOCK words. Output shards draw how many slots each source gets; a source's slots run through a
-pseudorandom permutation of its block indices, again and again, and blocks are joined to slots by index. The output is
-one row for each filled slot with the words of its block; what each document gives is counted from those rows.
+Main path: SQL expressions only. A source's documents are dealt by hash to parts of about PART_ROWS; the words of a
+part, in hashed order, are cut into blocks of BLOCK words, numbered through all parts of the source. Output shards draw
+how many slots each source gets; a source's slots run through a pseudorandom permutation of its block indices, again
+and again, and blocks are joined to slots by index. The output is one row for each filled slot with the words of its
+block; what each document gives is counted from those rows.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import SPACE, let, lookup, materialize, release, running_total
+from payscope.llm.common import BROADCAST_ROWS, co_partitioned, global_running, key_of, let, lookup, materialize, release
 
 BLOCK = 64
 #: Slots of an output shard for each source, and the least number of slots of a shard.
@@ -21,133 +20,165 @@ SLOTS_PER_SOURCE = 64
 MIN_SLOTS = 1024
 MAX_TIMES = 3
 WEIGHTS = (1, 2, 3)
+#: Expected documents of a part; a task packs a part at a time.
+PART_ROWS = 2048
+#: Slots that one row and one task expand to, and block numbers that one row of the index of parts covers.
+CHUNK = 4096
+TASK_SLOTS = 1 << 16
+REACH = 4096
 #: Steps of the cycle walk. The permuted domain exceeds n by less than sqrt(n) + 1, so for n >= 100 a walk this long
 #: has a chance below 1e-60, and for smaller n it visits every index outside.
 WALK = 64
 
 
-def n_words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
+    """The words of a text as an array; null and blank texts have none. Without regular expressions, which take most of the time."""
     t = F.coalesce(text.cast("string"), F.lit(""))
-    return let(F.split(t, SPACE, -1), lambda p: F.size(p) - (F.get(p, F.lit(0)) == "").cast("int") - ((F.size(p) > 1) & (F.get(p, F.size(p) - 1) == "")).cast("int")).cast("long")
+    for space in "\t\n\x0b\f\r":
+        t = F.replace(t, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(t, " ", -1), "")
+
+
+def n_words(text: Column) -> Column:
+    return F.size(words_of(text)).cast("long")
 
 
-def targets(sources: DataFrame) -> DataFrame:
+def targets(sources: DataFrame, n: int) -> DataFrame:
     """(source, source_size) -> with n_source, weight, target: shares by weight, capped at MAX_TIMES, the rest reshared.
 
     The resharing ends where the rest share in proportion to weight and no cap is passed: sources in the order of
-    cap / weight take their cap as long as the remaining share would pass it. Works on one row for each source."""
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    df = sources.withColumn("n_source", F.row_number().over(order) - 1)
+    cap / weight take their cap as long as the remaining share would pass it. One row for each of the n sources."""
+    df = global_running(sources, [F.col("source").asc_nulls_last()], {"n_source": F.lit(1).cast("long")}, n)
     df = df.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("n_source") % len(WEIGHTS) + 1).cast("int")).cast("double"))
-    df = df.withColumn("cap", F.lit(MAX_TIMES) * F.col("source_size").cast("double"))
-    by_level = Window.orderBy(F.col("cap") / F.col("weight"), "n_source")
-    before, everywhere = by_level.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
-    rest = F.sum("source_size").over(everywhere) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
-    weight = F.sum("weight").over(everywhere) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    df = df.withColumn("level", rest / weight).withColumn("capped", F.col("level") * F.col("weight") > F.col("cap"))
+    df = df.withColumn("cap", F.lit(MAX_TIMES) * F.col("source_size").cast("double")).withColumn("ratio", F.col("cap") / F.col("weight"))
+    df = global_running(df, [F.col("ratio"), F.col("n_source")], {"cap_before": F.col("cap"), "weight_before": F.col("weight")}, n)
+    size, weight = df.select(F.sum("source_size").cast("double"), F.sum("weight")).first()
+    df = df.withColumn("level", (F.lit(size or 0.0) - F.col("cap_before")) / (F.lit(weight or 0.0) - F.col("weight_before")))
+    df = df.withColumn("capped", F.col("level") * F.col("weight") > F.col("cap"))
     # the first source that isn't capped sets the level of all that come after it
-    level = F.min(F.when(~F.col("capped"), F.struct(F.col("cap") / F.col("weight"), "n_source", "level"))).over(everywhere)["level"]
-    below = F.col("capped") & (F.col("cap") / F.col("weight") <= F.coalesce(level, F.lit(float("inf"))))
-    df = df.withColumn("target", F.when(below, F.col("cap")).otherwise(F.coalesce(level, F.lit(0.0)) * F.col("weight")))
-    return df.select("source", "source_size", "n_source", "weight", "target")
-
-
-def _uniform(*cols) -> Column:
-    return (F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))).cast("double")
-
-
-def permuted(index: Column, n: Column, seed: Column) -> Column:
-    """A pseudorandom permutation of 0 .. n-1: a Feistel network over two mixed-radix digits, with a cycle walk."""
-
-    def mixed(rows: Column, x: Column) -> Column:
-        cols = F.ceil(n / rows)
-        for k in (0, 1):
-            x = let(x, lambda v, k=k: (F.pmod(F.floor(v / cols) + F.pmod(F.xxhash64(v % cols, seed, F.lit(2 * k)), rows), rows)) * cols + v % cols)
-            x = let(x, lambda v, k=k: (v - v % cols) + F.pmod(v % cols + F.pmod(F.xxhash64(F.floor(v / cols), seed, F.lit(2 * k + 1)), cols), cols))
-        return x
-
-    def walk(rows: Column) -> Column:
-        return let(mixed(rows, index), lambda x0: F.when(x0 < n, x0).otherwise(
-            F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), x0, lambda x, _: F.when(x < n, x).otherwise(mixed(rows, x)))))
-
-    return let(F.ceil(F.sqrt(n.cast("double"))).cast("long"), walk)
-
-
-def plan(sources: DataFrame) -> tuple[DataFrame, int, int]:
-    """targets() with each source's blocks, probability of a slot and bounds of it; slots in all, slots of a shard."""
-    df = targets(sources).withColumn("n_blocks", F.ceil(F.col("source_size") / BLOCK).cast("long"))
-    # a source's last block is short: its slots number as many as its mean block needs to reach the target
+    at, level = df.select(F.min(F.when(~F.col("capped"), F.struct("ratio", "n_source", "level"))).alias("x")).select("x.ratio", "x.level").first()
+    below = F.col("capped") & (F.col("ratio") <= F.lit(float("inf") if at is None else at))
+    df = df.withColumn("target", F.when(below, F.col("cap")).otherwise(F.lit(level or 0.0) * F.col("weight")))
+    return df.select("source", "source_size", "n_rows", "n_source", "weight", "target")
+
+
+def permuted(df: DataFrame, out: str, index: Column, n: Column, seed: Column) -> DataFrame:
+    """df with out, a pseudorandom permutation of index in 0 .. n-1: a Feistel network over two mixed-radix digits, with a cycle walk."""
+
+    def half(digit: str, other: str, base: str, k: int) -> Column:
+        return F.pmod(F.col(digit) + F.pmod(F.xxhash64(F.col(other), seed, F.lit(k)), F.col(base)), F.col(base))
+
+    rows, cols = F.col("_rows"), F.col("_cols")
+
+    def upper(k: int):
+        return lambda v: F.pmod(F.floor(v / cols) + F.pmod(F.xxhash64(v % cols, seed, F.lit(k)), rows), rows) * cols + v % cols
+
+    def lower(k: int):
+        return lambda v: v - v % cols + F.pmod(v % cols + F.pmod(F.xxhash64(F.floor(v / cols), seed, F.lit(k)), cols), cols)
+
+    def again(x: Column) -> Column:
+        """The network once more, as one expression."""
+        return let(let(let(let(x, upper(0)), lower(1)), upper(2)), lower(3))
+
+    df = df.withColumns({"_n": n.cast("long"), "_x": index.cast("long")}).withColumn("_rows", F.ceil(F.sqrt(F.col("_n").cast("double"))).cast("long"))
+    df = df.withColumn("_cols", F.ceil(F.col("_n") / F.col("_rows"))).withColumns({"_a": F.floor(F.col("_x") / F.col("_cols")), "_b": F.col("_x") % F.col("_cols")})
+    for k in (0, 1):
+        df = df.withColumn("_a", half("_a", "_b", "_rows", 2 * k)).withColumn("_b", half("_b", "_a", "_cols", 2 * k + 1))
+    df = df.withColumn("_x", F.col("_a") * F.col("_cols") + F.col("_b"))
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("_x"), lambda x, _: F.when(x < F.col("_n"), x).otherwise(again(x)))
+    return df.withColumn(out, F.when(F.col("_x") < F.col("_n"), F.col("_x")).otherwise(walked)).drop("_n", "_x", "_rows", "_cols", "_a", "_b")
+
+
+def plan(sources: DataFrame, parts: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int, int]:
+    """targets() with n_blocks and the range lower .. upper of each source's slots among all; the parts with n_source,
+    blocks and base, their first block's number in the source; slots in all, slots of a shard."""
+    known = materialize(targets(sources, n))
+    parts = parts.withColumn("key", key_of("source")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n)
+    parts = materialize(parts.withColumn("base", F.coalesce(F.sum("blocks").over(before), F.lit(0))).select("key", "n_source", "part", "blocks", "base"))
+    blocks = parts.groupBy("n_source").agg(F.sum("blocks").alias("n_blocks"))
+    df = known.join(blocks.hint("merge"), "n_source")
+    # parts end in a short block: a source's slots number as many as its mean block needs to reach the target
     df = df.withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
+    df = global_running(df, [F.col("n_source")], {"slots_before": F.col("slots")}, n)
+    df = df.withColumn("lower", F.round("slots_before").cast("long")).withColumn("upper", F.least(F.round(F.col("slots_before") + F.col("slots")).cast("long"), F.col("lower") + MAX_TIMES * F.col("n_blocks")))
     df = materialize(df)
-    total, n = df.select(F.coalesce(F.sum("slots"), F.lit(0.0)), F.count("*")).first()
-    order = Window.orderBy("n_source")
-    upper = F.sum("slots").over(order)
-    df = df.withColumn("upper", F.when(F.col("n_source") == n - 1, F.lit(1.0)).otherwise(upper / (total or 1.0)))
-    df = df.withColumn("lower", F.coalesce(F.lag("upper").over(order), F.lit(0.0)))
-    return df, round(total), max(MIN_SLOTS, SLOTS_PER_SOURCE * n)
-
-
-def slots(sources: DataFrame, spark: SparkSession, n_slots: int, per_shard: int) -> DataFrame:
-    """(n_source, shard, slot, block, epoch): one row for each slot that is filled; a shard's slots are in permuted order.
-
-    A shard's counts are a multinomial draw by systematic points (j + u) / slots, u hashed from the shard: each count
-    has the multinomial mean, at most one off. Slot k of a source, over all shards, reads block permuted(k mod blocks)."""
-    shards = max(1, math.ceil(n_slots / per_shard))
-    size = F.least(F.lit(per_shard), F.lit(n_slots) - F.col("shard") * per_shard)
-    # every shard draws from every source: with per_shard >= SLOTS_PER_SOURCE * sources these are slots / SLOTS_PER_SOURCE rows
-    df = sources.where("slots > 0").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    u = _uniform("shard", F.lit("shard"))
-    begin = F.greatest(F.lit(0), F.ceil(size * F.col("lower") - u)).cast("long")
-    count = F.greatest(F.lit(0), F.least(size, F.ceil(size * F.col("upper") - u)) - begin)
-    df = df.select("n_source", "n_blocks", "shard", size.cast("long").alias("size"), begin.alias("begin"), count.cast("long").alias("count")).where("count > 0")
-    df = df.withColumn("hash", F.shiftrightunsigned(F.xxhash64("shard", F.lit("order")), 2))
-    df = running_total(df, "n_source", ["hash", "shard"], "count", shards, "first")
-    df = df.withColumn("k", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)))
-    df = df.where(F.col("k") < F.lit(MAX_TIMES) * F.col("n_blocks"))
-    block = permuted(F.col("k") % F.col("n_blocks"), F.col("n_blocks"), F.col("n_source"))
-    slot = permuted(F.col("begin") + F.col("k") - F.col("first"), F.col("size"), F.col("shard"))
-    return df.select("n_source", "shard", slot.alias("slot"), block.alias("block"), F.floor(F.col("k") / F.col("n_blocks")).alias("epoch"))
-
-
-def pieces(placed: DataFrame, texts: DataFrame) -> DataFrame:
-    """(n_source, block, at, row, doc_id, words, text): the words of each document in each block that it reaches into."""
-    inside = placed.where("size > 0").join(texts.hint("merge"), "row")
-    words = F.filter(F.split("text", SPACE, -1), lambda w: w != "")
-
-    def cut(all_words: Column) -> Column:
-        def piece(block: Column) -> Column:
-            first = F.greatest(block * BLOCK, F.col("offset"))
-            n = F.least((block + 1) * BLOCK, F.col("offset") + F.col("size")) - first
-            taken = F.slice(all_words, (first - F.col("offset") + 1).cast("int"), n.cast("int"))
-            return F.struct(block.alias("block"), first.alias("at"), n.alias("words"), F.array_join(taken, " ").alias("text"))
-
-        return F.transform(F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((F.col("offset") + F.col("size") - 1) / BLOCK)), piece)
-
-    return inside.select("n_source", "row", "doc_id", F.explode(let(words, cut)).alias("p")).select("n_source", "p.block", "p.at", "row", "doc_id", "p.words", "p.text")
+    n_slots = df.select(F.coalesce(F.max("upper"), F.lit(0))).first()[0]
+    return df, parts, n_slots, max(MIN_SLOTS, SLOTS_PER_SOURCE * n)
+
+
+def slots(sources: DataFrame, n_slots: int, per_shard: int) -> DataFrame:
+    """(n_source, shard, slot, block, epoch): one row for each slot that is filled.
+
+    All slots, source by source, are permuted and dealt to shards of per_shard: a shard's counts are drawn without
+    replacement, which is a multinomial draw given that the sources' totals meet their targets. Slot k of a source,
+    over all shards, reads block permuted(k mod blocks) of it. No window, no shuffle but that of the rows to expand."""
+    length = F.col("upper") - F.col("lower")
+    chunks = sources.where(length > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((length - 1) / CHUNK))))
+    chunks = chunks.select("n_source", "n_blocks", "lower", length.alias("length"), "chunk").repartition(max(1, -(-n_slots // TASK_SLOTS)), "n_source", "chunk")
+    df = chunks.withColumn("k", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least((F.col("chunk") + 1) * CHUNK, F.col("length")) - 1)))
+    df = permuted(df, "place", F.col("lower") + F.col("k"), F.lit(max(1, n_slots)), F.lit("shards"))
+    df = permuted(df, "block", F.col("k") % F.col("n_blocks"), F.col("n_blocks"), F.col("n_source")).withColumn("epoch", F.floor(F.col("k") / F.col("n_blocks")))
+    return df.select("n_source", F.floor(F.col("place") / per_shard).alias("shard"), (F.col("place") % per_shard).alias("slot"), "block", "epoch")
+
+
+def _in_parts(drawn: DataFrame, parts: DataFrame) -> DataFrame:
+    """drawn with key, part and local, the block's number within its part: blocks are found by ranges of REACH numbers."""
+    ends = parts.where("blocks > 0").withColumn("reach", F.explode(F.sequence(F.floor(F.col("base") / REACH), F.floor((F.col("base") + F.col("blocks") - 1) / REACH))))
+    ends = ends.select(F.col("n_source").alias("_source"), "reach", "key", "part", "base", "blocks")
+    small = ends.count() <= BROADCAST_ROWS
+    inside = (F.col("_source") == F.col("n_source")) & (F.col("reach") == F.floor(F.col("block") / REACH)) & (F.col("block") >= F.col("base")) & (F.col("block") < F.col("base") + F.col("blocks"))
+    found = drawn.join(F.broadcast(ends) if small else ends.hint("merge"), inside)
+    return found.select(*drawn.columns, "key", "part", (F.col("block") - F.col("base")).alias("local"))
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """(key, part, local, ps): the pieces of documents in each block, in order. rows: key, part, hash, doc_id, size, text.
+
+    One exchange by part carries the texts; offsets, pieces and blocks are made where they land."""
+    order = Window.partitionBy("key", "part").orderBy("hash", "doc_id", "size")
+    rows = rows.withColumns({"row": F.row_number().over(order), "offset": F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+
+    # no filter on size, which would be pushed down and split the texts once more
+    blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("offset") / BLOCK), F.floor((F.col("offset") + F.col("size") - 1) / BLOCK)))
+    # the words are split once for each document, and each block's are cut out of them outside of lambdas, which would copy all
+    rows = rows.withColumn("words", words_of(F.col("text"))).select("key", "part", "row", "doc_id", "offset", "size", "words", F.explode(blocks).alias("local"))
+    first = F.greatest(F.col("local") * BLOCK, F.col("offset"))
+    n = F.least((F.col("local") + 1) * BLOCK, F.col("offset") + F.col("size")) - first
+    text = F.array_join(F.slice("words", (first - F.col("offset") + 1).cast("int"), n.cast("int")), " ")
+    pieces = rows.select("key", "part", "local", F.struct("row", "doc_id", n.alias("words"), text.alias("text")).alias("p"))
+    # a block has BLOCK words at most, so no more pieces
+    return pieces.groupBy("key", "part", "local").agg(F.sort_array(F.collect_list("p")).alias("ps"))
 
 
 def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """The rows of docs with their places in the streams, and the rows of the mix, written to the shared folder."""
-    spark = docs.sparkSession
-    read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), F.col(f"`{text}`").cast("string").alias("text"), n_words(F.col(f"`{text}`")).alias("size"))
-    # the text is written with the row's number, which another reading of docs may give anew
-    read = materialize(read.withColumn("hash", F.shiftrightunsigned(F.xxhash64("doc_id", "source"), 2)).withColumn("row", F.monotonically_increasing_id()))
-    narrow = read.drop("text")
-    sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows"))
-    planned, n_slots, per_shard = plan(sources.select("source", "source_size"))
-    planned = materialize(planned)
-    n_rows, n_sources = narrow.count(), planned.count()
-    keyed = _with_source(narrow, planned.select("source", "n_source", "source_size", "target"), n_sources)
-    placed = materialize(running_total(keyed, "n_source", ["hash", "doc_id", "row"], "size", n_rows, "offset"))
-    parts = pieces(placed.select("row", "n_source", "doc_id", "size", "offset"), read.select("row", "text"))
-    # 64 words at most, so 64 pieces at most
-    packed = parts.groupBy("n_source", "block").agg(F.sort_array(F.collect_list(F.struct("at", "row", "doc_id", "words", "text"))).alias("ps"))
-    drawn = slots(planned, spark, n_slots, per_shard).join(packed.hint("merge"), ["n_source", "block"])
-    names = planned.select("n_source", "source")
-    drawn = lookup(drawn, names, "n_source", n_sources)
-    out = drawn.select("shard", "slot", "source", "block", "epoch", F.array_join(F.col("ps.text"), " ").alias("text"), F.transform("ps", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["row"].alias("row"), p["words"].alias("words"))).alias("pieces"))
-    out = materialize(out)
-    release(read)
+    """The rows of docs with their places in their parts, and the rows of the mix, written to the shared folder."""
+    t = F.col(f"`{text}`").cast("string")
+    read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), n_words(t).alias("size"), F.shiftrightunsigned(F.xxhash64(F.col(f"`{doc_id}`"), t), 2).alias("hash"), t.alias("text"))
+    read = read.withColumn("key", key_of("source"))
+    narrow = materialize(read.drop("text"))
+    sources = materialize(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+    n = sources.count()
+    # all other sources are one part each
+    large = sources.where(F.col("n_rows") > PART_ROWS).select(key_of("source").alias("key"), F.ceil(F.col("n_rows") / PART_ROWS).alias("n_parts"))
+    n_large = large.count()
+
+    def with_part(df: DataFrame) -> DataFrame:
+        return lookup(df, large, "key", n_large).withColumn("part", F.pmod("hash", F.coalesce("n_parts", F.lit(1).cast("long")))).drop("n_parts")
+
+    narrow = materialize(with_part(narrow))
+    planned, parts, n_slots, per_shard = plan(sources, narrow.groupBy("source", "part").agg(F.sum("size").alias("size")), n)
+    drawn = lookup(_in_parts(slots(planned, n_slots, per_shard), parts), planned.select("n_source", "source"), "n_source", n)
+    with co_partitioned(docs.sparkSession):
+        # the texts stay where their exchange by part put them; the slots go there
+        out = packed(with_part(read).select("key", "part", "hash", "doc_id", "size", "text")).hint("merge").join(drawn, ["key", "part", "local"])
+        out = out.select("shard", "slot", "source", "block", "epoch", F.array_join(F.col("ps.text"), " ").alias("text"), "key", "part", F.transform("ps", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["row"].alias("row"), p["words"].alias("words"))).alias("pieces"))
+        out = materialize(out)
+    row = F.row_number().over(Window.partitionBy("key", "part").orderBy("hash", "doc_id", "size"))
+    placed = lookup(narrow.withColumn("row", row), planned.select(key_of("source").alias("key"), "source_size", "target"), "key", n)
+    for used in (sources, parts):
+        release(used)
     return placed, out
 
 
@@ -155,28 +186,23 @@ def output(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     """The mix, one row for each filled slot: shard, slot, source, block, epoch, text, pieces.
 
     text is the block's words, one space apart (white space between words isn't kept); pieces tells, in order, the
-    doc_id, the number of the row and the count of words of each document in it. A source's last block may be short."""
-    return _mixed(docs, doc_id, text, source)[1]
+    doc_id and the count of words of each document in it. A part's last block may be short."""
+    return _mixed(docs, doc_id, text, source)[1].select("shard", "slot", "source", "block", "epoch", "text", F.transform("pieces", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["words"].alias("words"))).alias("pieces"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row for each row of docs: doc_id, source, size, source_size, target, taken, counted from the rows of output().
 
     Null and empty texts have size 0 and take none. Null sources form one source, the last. Repeated rows are rows of
-    their own, told apart within the stream by a number; empty tables give no rows."""
+    their own; rows equal in doc_id, source and text can trade places, so reruns agree as sets of rows. Rows that share
+    only a doc_id are told apart by their text. Texts are read whole, however long, twice: docs must give the same rows
+    each time. Empty tables give no rows; other columns, of whatever name, aren't read."""
     placed, mixed = _mixed(docs, doc_id, text, source)
-    taken = mixed.select(F.explode("pieces").alias("p")).groupBy("p.row").agg(F.sum("p.words").alias("taken"))
-    out = placed.join(taken.hint("merge"), "row", "left")
+    taken = mixed.select("key", "part", F.explode("pieces").alias("p")).groupBy("key", "part", "p.row").agg(F.sum("p.words").alias("taken"))
+    out = placed.join(taken.hint("merge"), ["key", "part", "row"], "left")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def _with_source(narrow: DataFrame, planned: DataFrame, n_sources: int) -> DataFrame:
-    from payscope.llm.common import key_of
-
-    small = planned.select(key_of("source").alias("_key"), "n_source", "source_size", "target")
-    return lookup(narrow.withColumn("_key", key_of("source")), small, "_key", n_sources).drop("_key")
-
-
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns of op5."""
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
