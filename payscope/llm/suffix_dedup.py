@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import BROADCAST_ROWS, lookup, materialize
+from payscope.llm.common import BROADCAST_ROWS, flagged, lookup, materialize, release, skewed
 
 LENGTH = 400
 GRAM = 64
@@ -31,6 +31,9 @@ MANY = 256
 HALF = REACH // 2
 #: Contexts that one task compares; the strings of more are counted by task, step and hash, so no task gathers them.
 CROWD = 4096
+#: Contexts that are compared in one go, and strings of theirs that are named at a time.
+SHARE = 1024
+CELLS = 500_000
 #: Places that one array of sort keys covers.
 STRETCH = 1 << 21
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -136,27 +139,31 @@ def context(raw: bytes, place: int) -> tuple[bytes, int]:
     return raw[place - left : place + LENGTH], left
 
 
-def repeated(contexts: list[tuple[bytes, int, int]], low: int = 0, high: int = REACH) -> list[tuple[int, int] | None]:
-    """For each (bytes, bytes before the sample, times it stands): the range, from the sample, of the bytes in strings
-    that begin low to high bytes before it and stand in another context too, or twice in this one; None if there are none."""
+def repeated(contexts: list[tuple[bytes, int, int, int, int]], tasks: list[int]) -> list[tuple[int, int] | None]:
+    """For each (bytes, bytes before the sample, times it stands, low, high): the range, from the sample, of the bytes in
+    strings that begin low to high bytes before it and stand in another context of its task too, or twice in this one;
+    None if there are none. Contexts of many tasks are compared in one go: a string's name holds its task's number."""
     n = len(contexts)
     table = np.zeros((n, REACH + LENGTH), np.uint8)
-    for row, (raw, left, _) in zip(table, contexts, strict=True):
+    for row, (raw, left, *_) in zip(table, contexts, strict=True):
         row[REACH - left : REACH - left + len(raw)] = np.frombuffer(raw, np.uint8)
-    begin = np.array([REACH - left for _, left, _ in contexts])
-    end = np.array([REACH - left + len(raw) for raw, left, _ in contexts])
-    twice = np.array([k > 1 for _, _, k in contexts])
-    out: list[tuple[int, int] | None] = [None] * n
+    left, times, low, high = (np.array(c, np.int64) for c in list(zip(*contexts, strict=True))[1:])
+    size = np.array([len(c[0]) for c in contexts])
+    begin, end = np.maximum(REACH - left, REACH - high), np.minimum(REACH - left + size - LENGTH, REACH - low)
+    own = mixed(np.array(tasks, np.uint64) * MIX[0])[:, None]
+    twice = times > 1
     least, most = np.full(n, REACH + 1), np.full(n, -1)
     # starts before the sample, some at a time so that memory is bounded
-    cut = max(1, 2_000_000 // n)
-    for first in range(REACH - high, REACH - low + 1, cut):
-        at = np.arange(first, min(first + cut, REACH - low + 1))
-        names = POWERS.strings(table[:, at[0] : at[-1] + LENGTH], LENGTH)
-        there = (begin[:, None] <= at) & (end[:, None] >= at + LENGTH)
+    cut = max(1, CELLS // n)
+    for first in range(0, REACH + 1, cut):
+        at = np.arange(first, min(first + cut, REACH + 1))
+        there = (begin[:, None] <= at) & (end[:, None] >= at)
+        if not there.any():
+            continue
+        names = POWERS.strings(table[:, at[0] : at[-1] + LENGTH], LENGTH) ^ own
         # what isn't there gets a name of its own
-        names = np.where(there, names, mixed(np.arange(names.size, dtype=np.uint64).reshape(names.shape) * MIX[0] + MIX[2]))
-        order = np.argsort(names, axis=0, kind="stable")
+        names[~there] = mixed(np.flatnonzero(~there).astype(np.uint64) * MIX[0] + MIX[2])
+        order = np.argsort(names, axis=0)
         ranked = np.take_along_axis(names, order, 0)
         same = ranked[1:] == ranked[:-1]
         edge = np.zeros((1, len(at)), bool)
@@ -166,9 +173,7 @@ def repeated(contexts: list[tuple[bytes, int, int]], low: int = 0, high: int = R
         rows = np.flatnonzero(hit.any(1))
         least[rows] = np.minimum(least[rows], at[hit[rows].argmax(1)])
         most[rows] = at[len(at) - 1 - hit[rows, ::-1].argmax(1)]
-    for i in np.flatnonzero(most >= 0):
-        out[i] = (int(least[i]) - REACH, int(most[i]) - REACH + LENGTH)
-    return out
+    return [(int(a) - REACH, int(z) - REACH + LENGTH) if z >= 0 else None for a, z in zip(least, most, strict=True)]
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -193,21 +198,23 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int
 
     spans: array<struct<start, end>> of the removed bytes. Null and empty texts have no bytes. A text of LENGTH bytes
     or more that stands twice is removed whole, repeated rows included. Grams and strings are told by 64-bit hashes,
-    strings only among those of one gram. Empty tables give no rows; other columns aren't read; texts are read whole."""
+    strings only among those of one gram. A text that no row with an id holds is compared with equal texts only. Empty
+    tables give no rows; other columns, of whatever name, aren't read; texts are read whole, however long."""
     source = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
     rows = materialize(source.mapInArrow(_sampled, "doc_id bigint, n_bytes bigint, sha binary, names array<bigint>"))
-    classes = rows.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"))
-    classes = materialize(classes)
-    heads = rows.join(classes.where("doc_id IS NOT NULL").hint("merge"), ["sha", "doc_id"]).select("sha", "doc_id", F.explode("names").alias("name"))
-    names = heads.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    wanted = heads.join(names.hint("merge"), "name").groupBy("sha", "doc_id").agg(F.collect_set("name").alias("names"))
-    # texts that hold a name that stands twice, with the places of such names
-    held = wanted.hint("merge").join(source, "doc_id").mapInArrow(_placed, "sha binary, _t binary, name array<bigint>, ctx array<bigint>, place array<bigint>, left array<int>, size array<int>, runs array<struct<start:bigint,end:bigint>>")
+    # texts that stand once or first; the others are removed whole
+    classes = materialize(rows.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")))
+    heads = materialize(rows.join(classes.where("doc_id IS NOT NULL").select("sha", "doc_id").hint("merge"), ["sha", "doc_id"]).select("sha", "doc_id", F.explode("names").alias("name")))
+    names = materialize(heads.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"))
+    wanted = materialize(skewed(heads, names, ["name"], "n", heads.count()).groupBy("sha", "doc_id").agg(F.collect_set("name").alias("names")))
+    # texts that hold a name that stands twice, with the places of such names; the other texts stay where they are
+    held = wanted.hint("merge").join(flagged(source, wanted, "doc_id", wanted.count()), "doc_id").mapInArrow(_placed, "sha binary, _t binary, name array<bigint>, ctx array<bigint>, place array<bigint>, left array<int>, size array<int>, runs array<struct<start:bigint,end:bigint>>")
     held = materialize(held)
     places = held.select("sha", F.explode(F.arrays_zip("name", "ctx", "place", "left", "size")).alias("p")).select("sha", "p.*")
     by_context = materialize(places.groupBy("name", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("sha", "place")).alias("w")))
-    several = by_context.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    asked = by_context.join(several.hint("merge"), "name").select("w.sha", F.struct("name", "ctx", "n", "kinds", "w.place").alias("q")).groupBy("sha").agg(F.collect_list("q").alias("qs"))
+    several = materialize(by_context.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    n_contexts, n_places = by_context.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    asked = skewed(by_context, several, ["name"], "kinds", n_contexts).select("w.sha", F.struct("name", "ctx", "n", "kinds", "w.place").alias("q")).groupBy("sha").agg(F.collect_list("q").alias("qs"))
     bytes_of = asked.hint("merge").join(held.select("sha", "_t"), "sha").mapInArrow(_contexts, "task binary, low int, high int, name bigint, ctx bigint, n bigint, left int, bytes binary")
     bytes_of = materialize(bytes_of)
     crowded = materialize(bytes_of.groupBy("task").count().where(F.col("count") > crowd).select("task"))
@@ -216,20 +223,23 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int
     if n_crowded:
         crowded = F.broadcast(crowded) if n_crowded <= BROADCAST_ROWS else crowded.hint("merge")
         few = bytes_of.join(crowded, "task", "left_anti").select(bytes_of.columns)
-    answers = materialize(few.groupBy("task").applyInArrow(_compared, "name bigint, ctx bigint, low int, high int"))
+    answers = materialize(few.repartition("task").sortWithinPartitions("task").mapInArrow(_compared, "name bigint, ctx bigint, low int, high int"))
     if n_crowded:
         answers = answers.unionByName(_counted(bytes_of.join(crowded, "task", "left_semi").select(bytes_of.columns)))
     answers = answers.groupBy("name", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    known = by_context.select("name", "ctx", "n").join(answers.hint("merge"), ["name", "ctx"], "left")
-    found = places.join(known.hint("merge"), ["name", "ctx"])
+    known = materialize(by_context.select("name", "ctx", "n").join(answers.hint("merge"), ["name", "ctx"], "left"))
+    found = skewed(places, known, ["name", "ctx"], "n", n_places)
     whole = (F.col("n") > 1) & (F.col("size") >= LENGTH)
     start = F.when(whole, F.col("place") - F.col("left")).otherwise(F.col("place") + F.col("low"))
     end = F.when(whole, F.col("place") - F.col("left") + F.col("size")).otherwise(F.col("place") + F.col("high"))
     found = found.select("sha", F.struct(start.alias("start"), end.alias("end")).alias("r")).where("r.start IS NOT NULL").unionByName(held.select("sha", F.explode("runs").alias("r"))).groupBy("sha").agg(F.collect_set("r").alias("rs"))
     single = found.join(classes.where("copies = 1").select("sha").hint("merge"), "sha")
     cut = single.hint("merge").join(held.select("sha", "_t"), "sha").mapInArrow(_removed, "sha binary, n_removed bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
-    copied = classes.where("copies > 1").select("sha", F.lit(True).alias("copied"))
-    out = rows.select("doc_id", "n_bytes", "sha").join(copied.hint("merge"), "sha", "left").join(cut.hint("merge"), "sha", "left")
+    cut = materialize(cut)
+    copied = classes.where("copies > 1").select("sha", "copies", F.lit(True).alias("copied"))
+    out = skewed(rows.select("doc_id", "n_bytes", "sha"), copied, ["sha"], "copies", rows.count(), "left").join(cut.hint("merge"), "sha", "left")
+    for used in (heads, names, wanted, held, by_context, several, bytes_of, crowded if not n_crowded else None, known):
+        release(used)
     gone = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= LENGTH)
     spans = F.when(gone, F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("end")))).otherwise(F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")))
     return out.select(
@@ -287,12 +297,31 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch([list(c) for c in zip(*out, strict=True)], types)
 
 
-def _compared(group: pa.Table) -> pa.Table:
-    low, high = group["low"][0].as_py(), group["high"][0].as_py()
-    contexts = list(zip(group["bytes"].to_pylist(), group["left"].to_pylist(), group["n"].to_pylist(), strict=True))
-    ranges = repeated(contexts, low, high)
-    lows, highs = [r[0] if r else None for r in ranges], [r[1] if r else None for r in ranges]
-    return pa.table({"name": group["name"], "ctx": group["ctx"], "low": pa.array(lows, pa.int32()), "high": pa.array(highs, pa.int32())})
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From contexts sorted by task: whole tasks are taken together until there are SHARE contexts or more."""
+    types = {"name": pa.int64(), "ctx": pa.int64(), "low": pa.int32(), "high": pa.int32()}
+    ids: list[tuple[int, int]] = []
+    contexts: list[tuple] = []
+    tasks: list[int] = []
+    last = None
+
+    def answer() -> pa.RecordBatch:
+        ranges = repeated(contexts, tasks)
+        return _batch([[i[0] for i in ids], [i[1] for i in ids], [r[0] if r else None for r in ranges], [r[1] if r else None for r in ranges]], types)
+
+    for batch in batches:
+        columns = (batch[c].to_pylist() for c in ("task", "name", "ctx", "bytes", "left", "n", "low", "high"))
+        for task, name, ctx, *context_ in zip(*columns, strict=True):
+            if task != last:
+                if len(ids) >= SHARE:
+                    yield answer()
+                    ids, contexts, tasks = [], [], []
+                last, number = task, len(ids)
+            ids.append((name, ctx))
+            contexts.append(tuple(context_))
+            tasks.append(number)
+    if ids:
+        yield answer()
 
 
 def _counted(contexts: DataFrame) -> DataFrame:
