@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import materialize, release
+from payscope.llm.common import materialize, release, skewed
 
 MAX_ROUNDS = 40
 
@@ -13,8 +13,8 @@ MAX_ROUNDS = 40
 def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (node, root): the least node reachable, for every node of an edge. Any orderable type of node.
 
-    Each round writes its edges to the shared folder. A star with many leaves is met by a join on its centre, whose
-    skew the adaptive planner splits; no group is gathered in a task. Null ends are dropped, loops and repeats harmless."""
+    Each step writes its edges to the shared folder. A star with many leaves is met by a join on its centre, which is
+    broadcast if hot; no group is gathered in a task. Null ends are dropped, loops and repeats harmless."""
     pair = [F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")]
     now = materialize(edges.where("a IS NOT NULL AND b IS NOT NULL").select(*pair).where("a <> b").distinct())
     stamp = _stamp(now)
@@ -22,13 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
         if not stamp[0]:
             break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least.hint("merge"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least.hint("merge"), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        following = materialize(small.select("e.*").where("a <> b").distinct())
+        starred = _star(both, F.least(F.min("b"), F.col("a")), 2 * stamp[0])
+        large = materialize(starred.where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        starred = _star(large, F.min("b"), 2 * stamp[0])
+        pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
+        following = materialize(starred.select(pairs.alias("e")).select("e.*").where("a <> b").distinct())
         new = _stamp(following)
         release(now)
+        release(large)
         now, old, stamp = following, stamp, new
         if new == old:
             break
@@ -36,5 +37,11 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(roots.select("node"), "node", "left_anti"))
 
 
+def _star(edges: DataFrame, least: Column, total: int) -> DataFrame:
+    """edges with m, the least node of the star around a; centres of many leaves don't gather them in a task."""
+    centres = materialize(edges.groupBy("a").agg(least.alias("m"), F.count("*").alias("_leaves")))
+    return skewed(edges, centres, ["a"], "_leaves", total)
+
+
 def _stamp(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))).first())

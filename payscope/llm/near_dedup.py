@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import materialize
+from payscope.llm.common import flagged, materialize, release, skewed
 from payscope.llm.components import components
 
 K = 24
@@ -101,8 +101,8 @@ def needed(n: int, k: int, least: int, percent: int) -> int:
 def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """(node, root) of classes that share a list. Few, as a list needs one of a class's rarest values."""
     values = classes.select("key", "n_shingles", F.explode("sketch").alias("v"))
-    counts = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    known = values.join(counts.hint("merge"), "v")
+    counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"))
+    known = skewed(values, counts, ["v"], "df", k * classes.count())
     small = F.array(*[F.lit(needed(n, k, least, percent)) for n in range(1, k + 1)])
     need = F.when(F.col("n_shingles") > k, F.least(F.lit(least), F.ceil(F.col("n_shingles") * percent / 100))).otherwise(F.get(small, (F.col("n_shingles") - 1).cast("int")))
     # what is left of the prefix once values of a single class, the rarest, have taken their places in it
@@ -111,8 +111,11 @@ def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFram
     room = F.size("vs") - need + 1
     rare = by_class.where(room > 0).select("key", F.explode(F.slice("vs", F.lit(1), room.cast("int"))).alias("e")).select("key", "e.v")
     rare = materialize(rare)
-    hubs = rare.groupBy("v").agg(F.min("key").alias("b"))
-    return components(rare.join(hubs.hint("merge"), "v").select(F.col("key").alias("a"), "b"))
+    hubs = materialize(rare.groupBy("v").agg(F.min("key").alias("b"), F.count("*").alias("n")))
+    found = components(skewed(rare, hubs, ["v"], "n", rare.count()).select(F.col("key").alias("a"), "b"))
+    for used in (counts, rare, hubs):
+        release(used)
+    return found
 
 
 def union_overlap(sketch: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
@@ -187,10 +190,11 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
 
     component_id is the least doc_id of the component, kept tells whether it is the row's own. Null and empty texts
     have no shingles and are linked with nothing. Rows with equal sets are linked, rows of one doc_id included (a
-    repeated row has the same component; both copies are kept). Null ids are never the least. Shingles are told by
-    64-bit hashes. Empty tables give no rows; other columns aren't read."""
+    repeated row has the same component; both copies are kept). Null ids are never the least; a text that no row with an
+    id holds is linked with equal sets only. Shingles are told by 64-bit hashes. Texts are read whole, however long.
+    Empty tables give no rows; other columns, of whatever name, aren't read."""
     rows = materialize(sketches(docs, doc_id, text, width, k))
-    classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+    classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     gathered = gatherings(classes, k, least, percent)
     members = classes.select("key", "rep", "n_shingles").join(gathered.withColumnRenamed("node", "key").hint("merge"), "key")
     members = materialize(members)
@@ -201,7 +205,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     tasks = members.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("own", own)
     tasks = tasks.select("key", "rep", "blocks", F.concat_ws(":", F.hex("root"), F.least("own", "x"), F.greatest("own", "x")).alias("task"))
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("rep"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
-    texts = tasks.where("rep IS NOT NULL").hint("merge").join(plain, "rep")
+    # few texts are asked for: the others stay where they are
+    asked = members.where("rep IS NOT NULL").select("rep")
+    texts = tasks.where("rep IS NOT NULL").hint("merge").join(flagged(plain, asked, "rep", asked.count()), "rep")
 
     def run(group: pa.Table) -> pa.Table:
         shingler, sets, keys, reps = Shingler(width), [], [], []
@@ -226,10 +232,15 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     parts = linked.where("NOT whole")
     if not parts.isEmpty():
         label = label.unionByName(components(parts).select(F.col("node").alias("key"), F.col("root").alias("head")).where("key <> head"))
-    named = classes.select("key", "rep").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key"))
-    least_id = named.groupBy("head").agg(F.min("rep").alias("component"))
-    named = named.join(least_id.hint("merge"), "head").select("key", "component")
-    out = rows.select("doc_id", "n_shingles", "key").join(named.hint("merge"), "key", "left")
+    named = materialize(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
+    least_id = materialize(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
+    total = rows.count()
+    named = materialize(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "copies"))
+    found = rows.select("doc_id", "n_shingles", "key")
+    out = skewed(found.where("key IS NOT NULL"), named, ["key"], "copies", total).select("doc_id", "n_shingles", "component")
+    out = out.unionByName(found.where("key IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component")))
+    for used in (classes, members, linked):
+        release(used)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
