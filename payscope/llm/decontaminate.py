@@ -7,6 +7,7 @@ numbers, and every occurrence of a window is reported, overlapping ones too.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -15,23 +16,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from payscope.llm.common import materialize, release
 from payscope.llm.license_scan import NORMAL
 
 WINDOW = 10
-#: Windows of one automaton. A larger benchmark is cut into blocks of this size, each scanned in turn.
+#: Windows of one automaton, and bytes of them and their items. A larger benchmark is cut by hash into blocks of about
+#: this size, each scanned in turn, PASSES of them in one stage.
 MAX_WINDOWS = 200_000
+MAX_BYTES = 1 << 26
+PASSES = 4
 
 Block = list[tuple[tuple[bytes, ...], tuple[int, ...]]]
 
 
-def windows(items: list[tuple[int, bytes | None]], window: int = WINDOW) -> Block:
-    """(words, item ids) of every distinct window; a shorter item is one window, an empty one none."""
-    found: dict[tuple[bytes, ...], set[int]] = {}
-    for item, raw in items:
-        words = (raw or b"").translate(NORMAL).split()
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            found.setdefault(tuple(words[i : i + window]), set()).add(item)
-    return [(w, tuple(sorted(ids))) for w, ids in sorted(found.items())]
+def windows(raw: bytes | None, window: int = WINDOW) -> set[tuple[bytes, ...]]:
+    """The distinct windows of an item's words; a shorter item is one window, an empty one none."""
+    words = (raw or b"").translate(NORMAL).split()
+    return {tuple(words[i : i + window]) for i in range(max(1, len(words) - window + 1) if words else 0)}
 
 
 class Scanner:
@@ -94,33 +95,63 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def blocks_of(benchmark: DataFrame, item_id: str, text: str, window: int, max_windows: int) -> list[Block]:
-    """The benchmark's windows, cut into blocks. The rows are read one by one; rows with a null id are left out."""
-    rows = benchmark.select(F.col(f"`{item_id}`").cast("bigint"), F.col(f"`{text}`").cast("string").cast("binary")).where(F.col(f"`{item_id}`").isNotNull())
-    every = windows([(i, t) for i, t in rows.toLocalIterator()], window)
-    return [every[i : i + max_windows] for i in range(0, len(every), max_windows)] or [[]]
+def windows_of(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
+    """(win, ids): the benchmark's distinct windows, words one space apart, and the items that hold each, in the shared
+    folder. Made on the executors; rows with a null id are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = [b" ".join(w) for w in windows(raw.as_py(), window)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([item] * len(found), pa.int64())], ["win", "item"])
+
+    rows = benchmark.select(F.col(f"`{item_id}`").cast("bigint").alias("item"), F.col(f"`{text}`").cast("string").cast("binary").alias("t")).where("item IS NOT NULL")
+    return materialize(rows.mapInArrow(run, "win binary, item bigint").groupBy("win").agg(F.sort_array(F.collect_set("item")).alias("ids")))
+
+
+#: Automata of a worker, kept from task to task: token -> Scanner. The latest PASSES stay.
+_SCANNERS: dict[str, Scanner] = {}
+
+
+def _scanner(token: str, block) -> Scanner:
+    if token not in _SCANNERS:
+        while len(_SCANNERS) >= PASSES:
+            del _SCANNERS[next(iter(_SCANNERS))]
+        _SCANNERS[token] = Scanner(block.value)
+    return _SCANNERS[token]
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, max_windows: int = MAX_WINDOWS, carry: str | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, n_words, n_hit, item_ids (sorted as strings), spans in the original text.
 
     spans: array<struct<start, end>> in code points, from the first to the last word of each run of hit words. Null
-    and empty texts have no words. Repeated rows each count; an empty benchmark hits nothing; other columns aren't
-    read. The benchmark is a stated query set: each block of at most max_windows windows is broadcast and scanned
-    against all rows, without a shuffle. carry names a column, such as a struct of the whole row, that stands in the
+    and empty texts have no words; texts are read whole, however long. Repeated rows each count; an empty benchmark hits
+    nothing, an empty table gives no rows; other columns, of whatever name, aren't read. The benchmark is a stated query
+    set: each block of about max_windows windows is broadcast and scanned against all rows, without a shuffle. carry names a column, such as a struct of the whole row, that stands in the
     result in place of doc_id."""
-    spark = docs.sparkSession
     first = F.col(f"`{carry}`") if carry else F.col(f"`{doc_id}`").cast("bigint").alias("doc_id")
     df = docs.select(first, F.col(f"`{text}`").cast("string").cast("binary").alias("_t"), F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)").alias("_r"), F.expr("cast(array() as array<bigint>)").alias("_i"))
-    blocks = blocks_of(benchmark, item_id, item_text, window, max_windows)
-    for k, block in enumerate(blocks):
-        df = _pass(df, spark.sparkContext.broadcast(block), last=k == len(blocks) - 1)
+    held = windows_of(benchmark, item_id, item_text, window)
+    n, size = held.select(F.count("*"), F.coalesce(F.sum(F.length("win") + 8 * F.size("ids")), F.lit(0))).first()
+    n_blocks = max(1, -(-n // max_windows), -(-size // MAX_BYTES))
+    sent = []
+    for k in range(n_blocks):
+        part = held.where(F.pmod(F.xxhash64("win"), F.lit(n_blocks)) == k) if n_blocks > 1 else held
+        block = docs.sparkSession.sparkContext.broadcast([(tuple(bytes(r["win"]).split(b" ")), tuple(r["ids"])) for r in part.toLocalIterator()])
+        df = _pass(df, block, uuid.uuid4().hex, last=k == n_blocks - 1)
+        sent.append(block)
+        if len(sent) == PASSES and k < n_blocks - 1:
+            # the driver and the executors hold PASSES blocks at most
+            df = materialize(df)
+            while sent:
+                sent.pop().unpersist()
+    release(held)
     return df
 
 
-def _pass(df: DataFrame, block, last: bool) -> DataFrame:
+def _pass(df: DataFrame, block, token: str, last: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(block.value)
+        scanner = _scanner(token, block)
         for batch in batches:
             old_r, old_i = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             n_words, n_hit, items, spans = [], [], [], []
