@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from payscope.llm.common import let, prefix_sums
+from payscope.llm.common import chunked, larger, let, prefix_folds, prefix_sums, smaller
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -120,7 +120,8 @@ def scan(docs: DataFrame, text: str = "text", model: list[float] | None = None,
 
     Null and empty texts give an empty array; every row stays, repeated rows too. Kinds are indices of KINDS. A
     random token (kind 3) is a run of at least 20 token characters whose ratio reaches MIN_TOTAL and MIN_MEAN a
-    character and that overlaps no rule span. An existing column named `out` is replaced; others stay as they are."""
+    character and that overlaps no rule span. An existing column named `out` is replaced; others stay as they are. Texts
+    are searched whole, however long; of equal starts the kind listed first comes first. Empty tables give no rows."""
     model = train(default_samples(docs.sparkSession)) if model is None else model
     table = F.from_json(F.lit(json.dumps(model)), "array<double>")
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
@@ -130,7 +131,7 @@ def scan(docs: DataFrame, text: str = "text", model: list[float] | None = None,
         return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["token"].alias("token"), score.alias("score"))
 
     def add(b: Column) -> Column:
-        free = F.filter(_spans(t, TOKEN, 3), lambda s: ~F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"])))
+        free = let(_spans(t, TOKEN, 3), lambda tokens: F.when((F.size(b) == 0) | (F.size(tokens) == 0), tokens).otherwise(_free(tokens, b)))
         scored = F.transform(free, lambda s: with_score(s, ratio(s["token"], table)))
         new = F.filter(scored, lambda s: (s["score"] >= MIN_TOTAL) & (s["score"] >= MIN_MEAN * F.length(s["token"])))
         return F.array_sort(F.concat(F.transform(b, lambda s: with_score(s, F.lit(None).cast("double"))), new))
@@ -138,6 +139,20 @@ def scan(docs: DataFrame, text: str = "text", model: list[float] | None = None,
     return docs.withColumn(out, let(base, add))
 
 
+def _free(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap no base span: none that starts before reaches into them, and the next starts after them."""
+    none = F.lit(1 << 62).cast("long")
+
+    def of(every: Column) -> Column:
+        is_base = lambda s: s["kind"] < 3
+        reached = prefix_folds(F.transform(every, lambda s: F.when(is_base(s), s["end"]).otherwise(F.lit(0).cast("long"))), larger, F.lit(0).cast("long"))
+        following = F.reverse(prefix_folds(F.reverse(F.transform(every, lambda s: F.when(is_base(s), s["start"]).otherwise(none))), smaller, none))
+        zipped = F.arrays_zip(every.alias("s"), reached.alias("reached"), following.alias("following"))
+        return F.transform(F.filter(zipped, lambda z: (z["s"]["kind"] == 3) & (z["reached"] <= z["s"]["start"]) & (z["following"] >= z["s"]["end"])), lambda z: z["s"])
+
+    return let(F.array_sort(F.concat(tokens, base)), of)
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined, in the order of the array."""
     names = F.array(*map(F.lit, KINDS))
@@ -158,22 +173,41 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "<SECRET>", model: list[float] | None = None) -> DataFrame:
-    """docs with every span of scan() replaced by `mark`; overlapping spans by one mark. Null texts stay null."""
-    t = F.col(f"`{text}`")
-    found = scan(docs, text, model, out="_secrets")
+    """docs with every span of scan() replaced by `mark`; overlapping spans by one mark. Null texts stay null.
+
+    Every row and every other column stays, whatever their names; empty tables give no rows."""
+    t, out = F.col(f"`{text}`"), "_secrets"
+    while out in docs.columns:
+        out += "_"
+    found = scan(docs, text, model, out=out)
+
+    def merged(spans: Column) -> Column:
+        """(start, end) of runs of overlapping spans."""
+
+        def of(before: Column) -> Column:
+            heads = F.filter(F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), F.get(before, i).alias("before"))), lambda h: h["start"] >= h["before"])
+            last = F.array_max(F.transform(spans, lambda s: s["end"]))
+            return let(heads, lambda hs: F.transform(hs, lambda h, i: F.struct(h["start"].alias("start"), F.coalesce(F.get(hs, i + 1)["before"], last).alias("end"))))
+
+        return let(prefix_folds(F.transform(spans, lambda s: s["end"]), larger, F.lit(0).cast("long")), of)
+
+    def cut(whole: Column, begin: Column, end: Column) -> Column:
+        return F.substr(whole, (begin + 1).cast("int"), (end - begin).cast("int"))
+
+    def rebuilt(runs: Column) -> Column:
+        def of(chunks: Column) -> Column:
+            def part(c: Column, b: Column) -> Column:
+                """The text from the end of the chunk before to the end of this one's last run."""
+                begin = F.when(b == 0, F.lit(0).cast("long")).otherwise(F.element_at(F.get(chunks, b - 1), -1)["end"])
+
+                def pieces(own: Column, begin: Column) -> Column:
+                    return F.array_join(F.transform(c, lambda r, i: F.concat(cut(own, F.when(i == 0, begin).otherwise(F.get(c, i - 1)["end"]) - begin, r["start"] - begin), F.lit(mark))), "")
 
-    def cut(s: Column, i: Column, spans: Column) -> Column:
-        """What the text holds before span i and after all spans before it, then the mark."""
-        begin = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["reach"])
-        gap = F.substr(t, (begin + 1).cast("int"), F.greatest(s["start"] - begin, F.lit(0)).cast("int"))
-        return F.when((i > 0) & (s["start"] < begin), F.lit("")).otherwise(F.concat(gap, F.lit(mark)))
+                return let(begin, lambda at: let(cut(t, at, F.element_at(c, -1)["end"]), lambda own: pieces(own, at)))
 
-    def reach(spans: Column) -> Column:
-        return F.transform(spans, lambda s, i: F.struct(s["start"].alias("start"), F.array_max(F.transform(F.slice(spans, F.lit(1), i + 1), lambda x: x["end"])).alias("reach")))
+            return F.concat(F.array_join(F.transform(chunks, part), ""), F.substr(t, (F.element_at(F.element_at(chunks, -1), -1)["end"] + 1).cast("int"), F.length(t)))
 
-    def rebuilt(spans: Column) -> Column:
-        parts = F.transform(spans, lambda s, i: cut(s, i, spans))
-        return F.concat(F.array_join(parts, ""), F.substr(t, (F.get(spans, F.size(spans) - 1)["reach"] + 1).cast("int"), F.length(t)))
+        return let(chunked(runs), of)
 
-    new = F.when(F.size("_secrets") == 0, t).otherwise(let(reach(F.col("_secrets")), rebuilt))
-    return found.withColumn(text, new).drop("_secrets")
+    new = F.when(F.size(F.col(out)) == 0, t).otherwise(let(merged(F.col(out)), rebuilt))
+    return found.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
