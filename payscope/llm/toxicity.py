@@ -169,7 +169,7 @@ def _train(chain: Chain, docs: list, marks: set[str]) -> None:
     for words, label in docs:
         active = [(i, [f for f in features(w) if f in chain.weights]) for i, w in enumerate(words)]
         active = [(i, fs) for i, fs in active if fs]
-        for i, _ in active[:50]:
+        for i, _ in active:
             lo, hi = max(0, i - 3), min(len(words), i + 4)
             inside = {j - lo: fs for j, fs in active if lo <= j < hi}
             gold = [int(label == 1 and any(f in marks for f in inside.get(j, ()))) for j in range(hi - lo)]
