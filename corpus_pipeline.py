@@ -17,9 +17,13 @@ from payscope.llm.common import BROADCAST_ROWS, materialize, table
 MIN_LANGUAGE_SCORE = 0.05
 
 
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def _packed(docs: DataFrame) -> DataFrame:
     """The whole row in one column, so that nothing an operator adds can clash with its columns."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("text").alias("_text"))
+    return docs.select(F.struct(*_columns(docs)).alias("_row"), F.col("text").alias("_text"))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +36,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = materialize(near_dedup.find(docs.select("doc_id", "text")).where("doc_id IS NOT NULL"))
     gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone.hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*_columns(docs))
     repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
     # rows that repeat a doc_id and its text
-    apart = kept.join(repeated.hint("merge"), "doc_id", "left_anti").select(docs.columns)
-    return apart.unionByName(kept.join(repeated.hint("merge"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))
+    apart = kept.join(repeated.hint("merge"), "doc_id", "left_anti").select(*_columns(docs))
+    return apart.unionByName(kept.join(repeated.hint("merge"), "doc_id", "left_semi").select(*_columns(docs)).dropDuplicates(["doc_id", "text"]))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +52,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     clean = secret_scan.redact(docs)
-    return (clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean).select(docs.columns)
+    return (clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean).select(*_columns(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
