@@ -1,4 +1,7 @@
-"""Layouts learned from a bounded sample of an unknown file: structure, field mapping, fingerprint. Runs on the driver."""
+"""Layouts learned from a bounded sample of an unknown file: structure, field mapping, fingerprint.
+
+An offer is made for a person to decide on, so its sample of one file's first lines is looked at on the driver; what
+counts over many files is a DataFrame operation."""
 
 from __future__ import annotations
 
@@ -8,6 +11,9 @@ import io
 import json
 import re
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 CORE = ("psp", "bank", "country", "status", "amount", "latency_ms")
 #: Names by which a canonical field is known, the most telling first.
 SIMILAR = [
@@ -28,7 +34,9 @@ IN_TEXT = {
     "amount": r"\bamount[:\s=]+([\d.]+)", "latency_ms": r"\b(?:latency|duration|elapsed)[:\s=]+([\d.]+)", "error": r'\b(?:error|reason)[:\s=]+"?([A-Z_]+)"?',
     "timestamp": r"(\d{4}[/\-]\d{2}[/\-]\d{2}[\sT]\d{2}:\d{2}:\d{2})",
 }
-LINES, RECORDS, VALUES, LEAST_SHARE = 200, 20, 3, 0.10
+LINES, HEAD, RECORDS, SAMPLES, VALUES = 200, 50, 20, 5, 3
+#: Shares of lines that are objects, or hold a field, from which a layout is taken as such.
+LEAST_OBJECTS, LEAST_SHARE = 0.40, 0.10
 
 
 def map_fields(columns: list[str]) -> dict[str, str]:
@@ -41,6 +49,17 @@ def map_fields(columns: list[str]) -> dict[str, str]:
     return out
 
 
+def mapping_of(columns: Column) -> Column:
+    """map_fields() of an array of names, as a map, for any number of headers."""
+    fits = F.transform(columns, lambda c: F.struct(c.alias("key"), F.array_compact(F.array(*[F.when(F.lower(F.trim(c)).rlike(p), f) for p, f in SIMILAR])).alias("fields")))
+
+    def claim(taken: Column, x: Column) -> Column:
+        free = F.filter(x["fields"], lambda f: ~F.exists(taken, lambda t: t["value"] == f))
+        return F.when(F.size(free) > 0, F.concat(taken, F.array(F.struct(x["key"].alias("key"), F.get(free, F.lit(0)).alias("value"))))).otherwise(taken)
+
+    return F.map_from_entries(F.aggregate(fits, F.array().cast("array<struct<key:string,value:string>>"), claim))
+
+
 def confidence(mapping: dict[str, str]) -> float:
     return round(sum(f in CORE for f in mapping.values()) / len(CORE), 3)
 
@@ -79,37 +98,45 @@ def file_fingerprint(content: str) -> str:
     return key_fingerprint(columns) if len(columns) >= 2 else hashlib.md5(lines[0][:100].lower().encode()).hexdigest()
 
 
-def _entry(file_name: str, kind: str, hint: str, keys: list[str], mapping: dict[str, str], samples: dict[str, list[str]], fingerprint: str, label: str) -> dict:
+def _entry(file_name: str, kind: str, hint: str, label: str, columns: list[str], mapping: dict[str, str], samples: dict[str, list[str]], fingerprint: str) -> dict:
     return {
         "fingerprint": fingerprint, "format_name": f"learned_{label}_{fingerprint[:6]}", "structural_type": kind, "field_mapping": mapping, "extraction_hint": hint,
-        "learned_confidence": confidence(mapping), "raw_columns": keys, "sample_values": samples, "file_examples": [file_name],
+        "learned_confidence": confidence(mapping), "raw_columns": columns, "sample_values": samples, "file_examples": [file_name],
     }
 
 
-def _from_records(file_name: str, records: list[dict], kind: str, hint: str, label: str, keys: list[str] | None = None) -> dict | None:
-    keys = keys or list(dict.fromkeys(k for r in records for k in r))
-    mapping = map_fields(keys)
-    if not mapping:
-        return None
-    samples = {k: [str(r[k]) for r in records if r.get(k) not in (None, "", "null")][:VALUES] for k in keys}
-    return _entry(file_name, kind, hint, keys, mapping, samples, key_fingerprint(keys), label)
+def _samples(records: list[dict], keys: list[str]) -> dict[str, list[str]]:
+    return {k: [str(r[k]) for r in records[:SAMPLES] if r.get(k) not in (None, "", "null")][:VALUES] for k in keys}
+
+
+def _from_objects(file_name: str, label: str, objects: list[dict]) -> dict:
+    keys = list(dict.fromkeys(k for r in objects[:RECORDS] for k in r))
+    return _entry(file_name, "document", "json_keys", label, sorted(keys), map_fields(keys), _samples(objects, keys), key_fingerprint(keys))
 
 
-def learn(file_name: str, content: str) -> dict | None:
-    """A format registry entry, not approved, from the head of a file; null if it is empty or shows no structure."""
+def learn(file_name: str, content: str, n_lines: int | None = None) -> dict | None:
+    """A format registry entry, not approved, from a file's text or its first LINES lines; null if it is empty or shows
+    no structure. n_lines: the filled lines of the whole file, where content is only its head."""
     lines = [x for x in content.splitlines() if x.strip()]
     if not lines:
         return None
     if (rows := _array(content)) is not None:
-        return _from_records(file_name, [r for r in rows[:RECORDS] if isinstance(r, dict)], "document", "json_keys", "json")
-    objects = [o for o in (_object(x.strip()) for x in lines[:50] if x.strip().startswith("{")) if o is not None]
-    if objects and len(objects) / len(lines[:50]) >= 0.5:
-        return _from_records(file_name, objects[:RECORDS], "document", "json_keys", "jsonl")
-    reader = csv.DictReader(io.StringIO("\n".join(lines[:LINES])))
-    names = [n for n in reader.fieldnames or [] if n]
-    if len(names) >= 3 and all(len(n) < 60 for n in names) and (found := _from_records(file_name, list(reader)[:RECORDS], "tabular", "csv_headers", "csv", names)):
-        return found
-    return _from_text(file_name, lines[:LINES])
+        return _from_objects(file_name, "json_array", [r for r in rows if isinstance(r, dict)])
+    objects = [o for o in (_object(x) for x in lines[:HEAD] if x.strip().startswith("{")) if o is not None]
+    if objects and len(objects) / max(n_lines or 0, len(lines)) >= LEAST_OBJECTS:
+        return _from_objects(file_name, "json_lines", objects)
+    return _from_table(file_name, lines[:LINES]) or _from_text(file_name, lines[:LINES])
+
+
+def _from_table(file_name: str, lines: list[str]) -> dict | None:
+    try:
+        rows = list(csv.DictReader(io.StringIO("\n".join(lines))))
+    except csv.Error:
+        return None
+    keys = [k for k in rows[0] if k] if rows and len(rows[0]) >= 2 else []
+    if not keys:
+        return None
+    return _entry(file_name, "tabular", "csv_headers", "csv", keys, map_fields(keys), _samples(rows, keys), key_fingerprint(keys))
 
 
 def _from_text(file_name: str, lines: list[str]) -> dict | None:
@@ -117,4 +144,21 @@ def _from_text(file_name: str, lines: list[str]) -> dict | None:
     seen = sorted(f for f, v in values.items() if len(v) / len(lines) >= LEAST_SHARE)
     if len(seen) < 2:
         return None
-    return _entry(file_name, "freetext", "regex_kv", seen, {f: f"regex:{f}" for f in IN_TEXT if f in seen}, {f: v[:VALUES] for f, v in values.items() if v}, hashlib.md5("|".join(seen).encode()).hexdigest(), "freetext")
+    fingerprint = hashlib.md5("|".join(seen).encode()).hexdigest()
+    return _entry(file_name, "freetext", "regex_kv", "freetext", seen, {f: f"regex:{f}" for f in IN_TEXT if f in seen}, {f: v[:VALUES] for f, v in values.items() if v}, fingerprint)
+
+
+def field_hits(lines: DataFrame, by: str = "path") -> DataFrame:
+    """(by, field, share): the fields that at least LEAST_SHARE of a file's lines (by, value) hold, for any number of files."""
+    counts = lines.groupBy(by).agg(F.count("*").alias("_n"), *[F.count_if(F.col("value").rlike(f"(?i){p}")).alias(f) for f, p in IN_TEXT.items()])
+    long = counts.unpivot([by, "_n"], list(IN_TEXT), "field", "_hits").withColumn("share", F.col("_hits") / F.col("_n"))
+    return long.where(F.col("share") >= LEAST_SHARE).select(by, "field", "share")
+
+
+def summary(entry: dict) -> str:
+    """A learned format in a few lines, as it is shown with an offer."""
+    left = [c for c in entry["raw_columns"] if c not in entry["field_mapping"]]
+    facts = {"Format": entry["format_name"], "Type": entry["structural_type"], "Hint": entry["extraction_hint"], "Confidence": f"{entry['learned_confidence']:.3f}", "Fingerprint": f"{entry['fingerprint'][:16]}..."}
+    out = [f"{k:<11}: {v}" for k, v in facts.items()] + [f"Mapped fields ({len(entry['field_mapping'])}):"]
+    out += [f"  {k!r:30s} -> {v!r}" for k, v in entry["field_mapping"].items()]
+    return "\n".join(out + [f"Unmapped   : {left}"] * bool(left))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.plans import schema as S
@@ -13,16 +13,26 @@ FORMATS = (
     "field_mapping map<string,string>, extraction_hint string, learned_confidence double, raw_columns array<string>, sample_values map<string,array<string>>, approved boolean")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """Entries in file order (_seq); lines that aren't JSON are left out."""
-    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_seq"))
-    return lines.select(F.from_json("value", PROCESSED).alias("e"), "_seq").where("e.file_name IS NOT NULL").select("e.*", "_seq")
+    """Entries in the order they were added (_seq); lines that aren't JSON are left out. No registry: no entries."""
+    seq = "struct<t:timestamp,p:string,b:bigint,i:bigint>"
+    if not exists(spark, path):
+        return spark.createDataFrame([], f"{PROCESSED}, _seq {seq}")
+    m = "_metadata."
+    order = F.struct(F.col(m + "file_modification_time").alias("t"), F.col(m + "file_path").alias("p"), F.col(m + "file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+    return spark.read.text(path).select("value", order.alias("_seq")).select(F.from_json("value", PROCESSED).alias("e"), "_seq").where("e.file_name IS NOT NULL").select("e.*", "_seq")
 
 
 def latest(entries: DataFrame, seq: str = "_seq") -> DataFrame:
-    """The latest entry of each file; of equal times the one appended last."""
-    newest = F.row_number().over(Window.partitionBy("file_name").orderBy(F.coalesce("processed_at", F.lit("")).desc(), F.col(seq).desc()))
-    return entries.withColumn("_n", newest).where("_n = 1").drop("_n")
+    """The latest entry of each file; of equal times the one appended last. Entries are compared before they are dealt by file."""
+    columns = [c for c in entries.columns if c not in ("file_name", "_at")]
+    newest = entries.withColumn("_at", F.struct(F.coalesce("processed_at", F.lit("")).alias("t"), F.col(seq).alias("s")))
+    return newest.groupBy("file_name").agg(F.max_by(F.struct(*columns), "_at").alias("e")).select("file_name", "e.*")
 
 
 def needs_processing(files: DataFrame, entries: DataFrame, seq: str = "_seq") -> DataFrame:
@@ -42,6 +52,30 @@ def append(entries: DataFrame, path: str) -> None:
     entries.select(F.to_json(F.struct(*entries.columns)).alias("value")).write.mode("append").text(path)
 
 
+def read_formats(spark: SparkSession, path: str) -> DataFrame:
+    """The learned formats; none where there is no registry."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], FORMATS)
+    return spark.read.text(path).select(F.from_json("value", FORMATS).alias("e")).where("e.fingerprint IS NOT NULL").select("e.*")
+
+
+def save_formats(formats: DataFrame, path: str) -> None:
+    """Replaces the registry. Its rows, one for each layout that a person was asked about, pass through the driver, as the
+    folder that they are read from is written anew."""
+    rows = [tuple(r) for r in formats.select(F.to_json(F.struct(*formats.columns))).collect()]
+    formats.sparkSession.createDataFrame(rows, "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def entry(formats: DataFrame, fingerprint: str) -> DataFrame:
+    """The format of this fingerprint, approved or not."""
+    return formats.where(F.col("fingerprint") == fingerprint)
+
+
+def seen(formats: DataFrame, fingerprints: list[str]) -> DataFrame:
+    """The registry after formats have been used: one more sighting of each."""
+    return formats.withColumn("times_seen", F.coalesce("times_seen", F.lit(0)) + F.when(F.col("fingerprint").isin(fingerprints), 1).otherwise(0))
+
+
 def fingerprint(keys: Column) -> Column:
     """Of an array of names: the MD5 of the sorted, trimmed, lower-cased names."""
     return F.md5(F.array_join(F.array_sort(F.transform(keys, lambda k: F.lower(F.trim(k)))), "|"))

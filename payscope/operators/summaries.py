@@ -64,8 +64,10 @@ def anomalies_per_file(records: DataFrame, anomalies: DataFrame) -> DataFrame:
     """(source_file, anomaly columns): anomalies of the providers that a file holds, and those of all providers."""
     held = records.select("source_file", "psp").distinct()
     own = held.join(anomalies, "psp").select("source_file", *anomalies.columns)
-    of_all = anomalies.where("psp = 'ALL'").withColumn("_k", F.lit(1)).join(records.select("source_file").distinct().withColumn("_k", F.lit(1)), "_k")
-    return own.where("psp <> 'ALL'").unionByName(of_all.select("source_file", *anomalies.columns))
+    # the rules for all providers give a few rows at most: an array that each file takes
+    of_all = anomalies.where("psp = 'ALL'").agg(F.collect_list(F.struct(*anomalies.columns))).scalar()
+    each = records.select("source_file").distinct().select("source_file", F.explode(of_all).alias("a"))
+    return own.where("psp <> 'ALL'").unionByName(each.select("source_file", "a.*"))
 
 
 def top_metrics(metrics: DataFrame, n: int = 25) -> DataFrame:

@@ -12,7 +12,9 @@ from payscope.operators import summaries as U
 from payscope.plans import adapter as D
 from payscope.plans import normalize as N
 from payscope.plans import oracle as O
+from payscope.plans import report
 from payscope.plans import schema as S
+from payscope.sources import logs
 
 QUERIES, ORACLES = {}, {}
 
@@ -207,6 +209,27 @@ def anomalies_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.anomalies_per_file(rows, A.detect(M.by_group(rows), rows))
 
 
+@query(O.query(f"""SELECT source_file, 'made' run_id, total_ops records_processed, 1::BIGINT records_skipped, 'rules_based' parsing_method, 'a->b,c->d' field_mappings_applied,
+  high || '/' || medium || '/' || low || '/' || critical confidence_distribution, 'none' errors, total_ops snapshot_ops, {O.rounded('sr', 2)} snapshot_success, 'OK,' || source_file human_approval_flags,
+  (SELECT count(*) FROM anomalies a WHERE a.psp IN (SELECT psp FROM valid v WHERE v.source_file = t.source_file)) n_anomalies FROM t""", O.GROUPS, O.ANOMALIES,
+    "t AS (SELECT source_file, count(*) total_ops, count(*) FILTER (status = 'SUCCESS')::DOUBLE / count(*) * 100 sr, count(*) FILTER (confidence >= 0.85) high, count(*) FILTER (confidence >= 0.7 AND confidence < 0.85) medium, count(*) FILTER (confidence >= 0.5 AND confidence < 0.7) low, count(*) FILTER (confidence < 0.5) critical FROM valid GROUP BY source_file)"))
+def audit_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit trail's JSON, taken apart again."""
+    rows = valid(spark, sf_dir)
+    files = rows.groupBy("source_file").agg(F.count("*").alias("processed")).select(
+        "source_file", F.lit("json_lines").alias("format"), F.lit(0.95).alias("confidence"), "processed", F.lit(1).cast("long").alias("rejected"), F.lit("rules_based").alias("method"),
+        F.array(F.lit("a->b"), F.lit("c->d")).alias("mappings"), F.array(F.lit("none")).alias("errors"), F.array(F.lit("OK"), "source_file").alias("flags"))
+    trail = report.audit(rows, A.detect(M.by_group(rows), rows), files, "made")
+    bands = ", ".join(f"{b}: bigint" for b, _ in S.BANDS)
+    e = F.from_json("value", "file_name string, run_id string, records_processed bigint, records_skipped bigint, parsing_method string, field_mappings_applied array<string>, "
+        f"confidence_distribution struct<{bands}>, errors array<string>, metrics_snapshot struct<total_ops: bigint, `success_rate_%`: double>, human_approval_flags array<string>, anomalies_detected array<struct<detector: string>>").alias("e")
+    joined = lambda c: F.array_join(f"e.{c}", ",").alias(c)
+    return trail.select(e).select(
+        F.col("e.file_name").alias("source_file"), "e.run_id", "e.records_processed", "e.records_skipped", "e.parsing_method", joined("field_mappings_applied"),
+        F.concat_ws("/", *[F.col(f"e.confidence_distribution.{b}") for b, _ in S.BANDS]).alias("confidence_distribution"), joined("errors"), F.col("e.metrics_snapshot.total_ops").alias("snapshot_ops"),
+        F.col("e.metrics_snapshot.`success_rate_%`").alias("snapshot_success"), joined("human_approval_flags"), F.size("e.anomalies_detected").cast("long").alias("n_anomalies"))
+
+
 @query(O.query("SELECT * FROM m ORDER BY psp, bank, country LIMIT 25", O.GROUPS))
 def top25_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.top_metrics(M.by_group(valid(spark, sf_dir)))
@@ -216,4 +239,4 @@ def top25_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = D.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("event").alias("kind"), F.col("value").alias("amount"))
     orders = D.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("order").alias("kind"), F.col("o_totalprice").alias("amount"))
-    return events.unionByName(orders, allowMissingColumns=True)
+    return logs.together([events, orders])

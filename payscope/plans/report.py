@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.operators import metrics as M
@@ -63,22 +63,38 @@ def markdown(records: DataFrame, metrics: DataFrame, by_psp: DataFrame, anomalie
     return "\n".join([*out, "", "---", "", f"*Report generated by Withdrawal Log Analysis Pipeline — Run `{run_id}`*"])
 
 
-def audit(records: DataFrame, anomalies: DataFrame, files: DataFrame, run_id: str, trigger: str = "manual") -> DataFrame:
-    """One JSON entry (value) for each file: counts, confidence bands, metrics, anomalies of its providers.
+ENTRY = (
+    "source_file string, format string, confidence double, processed long, rejected long, method string, mappings array<string>, errors array<string>, flags array<string>")
+
+
+def entries(spark: SparkSession, stats: list[dict]) -> DataFrame:
+    """What a run tells of each file, as audit() takes it."""
+    rows = [(f["file"], f["format"], f["confidence"], f["records"], f["rejected"], f["method"], f["mappings"], f["errors"], f["flags"]) for f in stats]
+    return spark.createDataFrame(rows, ENTRY)
+
 
-    files: source_file, format, confidence, processed, rejected."""
+def audit(records: DataFrame, anomalies: DataFrame, files: DataFrame, run_id: str, trigger: str = "manual") -> DataFrame:
+    """One JSON entry (value) for each file (ENTRY): how it was read, counts, confidence bands, metrics, anomalies of its providers."""
     each = U.anomalies_per_file(records, anomalies).groupBy("source_file").agg(F.collect_list(F.struct("detector", "severity", "message")).alias("anomalies_detected"))
     now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = files.join(U.file_snapshot(records), "source_file", "left").join(each, "source_file", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c.upper())
+    none = F.array().cast("array<struct<detector:string,severity:string,message:string>>")
     return rows.select(F.to_json(F.struct(
-        F.lit(now).alias("timestamp"), F.lit(run_id).alias("run_id"), F.lit(trigger).alias("trigger_type"), F.col("source_file").alias("file_name"), "format", F.col("confidence").alias("format_confidence"),
+        F.lit(now).alias("timestamp"), F.lit(run_id).alias("run_id"), F.lit(trigger).alias("trigger_type"), F.col("source_file").alias("file_name"), "format", F.round("confidence", 3).alias("format_confidence"),
         F.col("processed").alias("records_processed"), F.col("rejected").alias("records_skipped"), F.col("rejected").alias("records_rejected"),
-        F.struct(*[zero(b.lower()) for b, _ in S.BANDS]).alias("confidence_distribution"),
-        F.struct("total_ops", F.col("success_rate_pct").alias("success_rate_%"), "avg_latency_ms", "total_volume").alias("metrics_snapshot"), "anomalies_detected",
+        F.col("method").alias("parsing_method"), F.col("mappings").alias("field_mappings_applied"),
+        F.struct(*[zero(b.lower()) for b, _ in S.BANDS]).alias("confidence_distribution"), "errors",
+        F.struct("total_ops", F.col("success_rate_pct").alias("success_rate_%"), "avg_latency_ms", "total_volume").alias("metrics_snapshot"),
+        F.col("flags").alias("human_approval_flags"), F.coalesce("anomalies_detected", none).alias("anomalies_detected"),
     )).alias("value"))
 
 
+def error_entry(run_id: str, context: str, error: str) -> str:
+    now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return json.dumps({"timestamp": now, "run_id": run_id, "event": "PIPELINE_ERROR", "context": context, "error": error})
+
+
 def summary_entry(run_id: str, records: int, files: int, elapsed: float) -> str:
     now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     return json.dumps({"timestamp": now, "run_id": run_id, "event": "RUN_COMPLETE", "total_records": records, "total_files": files, "elapsed_sec": round(elapsed, 3)})

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscope.functions.scalars import exact_round, stripped
-from payscope.sources.logs import fields
+from payscope.sources.logs import fields, per_file
 
 SAMPLE = 25
 #: Line patterns of the formats.
@@ -41,7 +41,7 @@ def first_lines(lines: DataFrame, n: int = SAMPLE) -> DataFrame:
 
     Within a partition only lines that can be among the first n of a block are kept, by their place in it."""
     first = lines.groupBy("path").agg(F.min("_ord").alias("_first"))
-    near = lines.join(first, "path").where((F.col("_ord.b") == F.col("_first.b")) & (F.col("_ord.i") < F.col("_first.i") + n))
+    near = per_file(lines, first).where((F.col("_ord.b") == F.col("_first.b")) & (F.col("_ord.i") < F.col("_first.i") + n))
     return near.groupBy("path", "source_file").agg(F.transform(F.array_sort(F.collect_list(F.struct("_ord", "value"))), lambda x: x["value"]).alias("sample"))
 
 

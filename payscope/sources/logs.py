@@ -6,7 +6,9 @@ comes from the block a line is in and its place in the block's partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from payscope.functions.scalars import filled, let, number, number_text, stripped
@@ -14,7 +16,11 @@ from payscope.plans import schema as S
 from payscope.plans.normalize import is_withdrawal
 
 #: One delimited field, quoted or not.
-FIELD = r'(?:"(?:[^"]|"")*"|[^,]*)'
+FIELD = r'(?:"(?:[^"]++|"")*+"|[^,]*+)'
+#: Files up to which what is known of each is broadcast to its lines.
+FILES = 50_000
+#: Characters of a row that quotes hold together over several lines; a longer one is taken for lines with a stray quote.
+ROW_CHARS = 131_072
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -25,6 +31,53 @@ def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.struct(F.col(m + "file_path").alias("p"), F.col(m + "file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_ord"), "value")
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A table of at most FILES rows as values that are broadcast, without its lineage; a larger one to be dealt by its key."""
+    rows = table.take(FILES + 1)
+    if len(rows) > FILES:
+        return table.hint("merge")
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
+def per_file(raw: DataFrame, table: DataFrame) -> DataFrame:
+    """raw joined on path with a table of one row for each file: broadcast up to FILES rows, so one large file isn't one task's."""
+    return raw.join(small(table), "path")
+
+
+def logical(raw: DataFrame) -> DataFrame:
+    """Rows whose quoted fields span lines, put together; the lines of files without an odd number of quotes in one stay as they are.
+
+    Whether a line begins inside quotes follows from the quotes before it, summed within the file's blocks and then
+    over the blocks, so no task gets a whole file."""
+    odd = (F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))) % 2
+    files = raw.where(odd == 1).select("path").distinct()
+    if files.isEmpty():
+        return raw
+    files = small(files)
+    within, earlier = Window.partitionBy("path", "_b").orderBy("_ord"), Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    held = raw.join(files, "path").withColumns({"_b": F.col("_ord.b"), "_odd": odd.cast("long")})
+    held = held.withColumn("_own", F.coalesce(F.sum("_odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # where a block's last row begins, if the block itself begins outside quotes and if inside
+    last = lambda k: F.max(F.when((F.col("_own") + k) % 2 == 0, F.col("_ord")))
+    blocks = held.groupBy("path", "_b").agg(F.sum("_odd").alias("_sum"), last(0).alias("_last0"), last(1).alias("_last1"))
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    blocks = blocks.withColumn("_carried", F.max(F.when(F.col("_before") % 2 == 0, F.col("_last0")).otherwise(F.col("_last1"))).over(earlier))
+    held = held.join(small(blocks.select("path", "_b", "_before", "_carried")), ["path", "_b"])
+    start = F.when((F.col("_before") + F.col("_own")) % 2 == 0, F.col("_ord"))
+    held = held.withColumn("_row", F.coalesce(F.max(start).over(within.rowsBetween(Window.unboundedPreceding, 0)), "_carried"))
+    # a quote that nothing closes doesn't gather the rest of the file
+    chars = F.sum(F.length("value").cast("long")).over(Window.partitionBy("path", "_row"))
+    held = held.withColumn("_chars", chars).withColumn("_row", F.when(F.col("_chars") <= ROW_CHARS, F.col("_row")).otherwise(F.col("_ord")))
+    rows = held.groupBy("path", "source_file", "_row").agg(F.array_sort(F.collect_list(F.struct("_ord", "value"))).alias("ls"))
+    rows = rows.select("path", "source_file", F.col("_row").alias("_ord"), F.array_join(F.transform("ls", lambda x: x["value"]), "\n").alias("value"))
+    return raw.join(files, "path", "left_anti").select(rows.columns).unionByName(rows)
+
+
+def together(parts: list[DataFrame]) -> DataFrame:
+    """The records of several layouts as one table; a layout's missing columns are null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def unquoted(field: Column) -> Column:
     q = F.when(field.startswith('"'), F.regexp_replace(F.regexp_replace(field, r'^"|"$', ""), '""', '"')).otherwise(field)
     return q
@@ -32,7 +85,7 @@ def unquoted(field: Column) -> Column:
 
 def fields(line: Column) -> Column:
     """The fields of a delimited line, quotes taken off."""
-    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1)), unquoted)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1)), unquoted)
 
 
 def truthy(v: Column) -> Column:
@@ -60,10 +113,10 @@ def _parsed(text: Column) -> Column:
 
 
 def azure(raw: DataFrame) -> DataFrame:
-    """Ten fields, then a JSON body whose quotes are doubled and whose commas may have split it."""
-    row = raw.where("value <> ''")
+    """Ten fields, then a JSON body whose quotes are doubled and whose commas may have split it. Quoted fields may span lines."""
+    row = logical(raw).where("value <> ''")
     at = lambda i: F.trim(F.coalesce(F.get("f", F.lit(i)), F.lit("")))
-    body = F.trim(F.regexp_extract("value", rf"^(?:{FIELD},){{10}}(.*)$", 1))
+    body = F.trim(F.regexp_extract("value", rf"(?s)^(?:{FIELD},){{10}}(.*)$", 1))
     outer = F.when(body.rlike('^".*"$'), F.regexp_replace(F.regexp_replace(body, '^"|"$', ""), '""', '"'))
     kept = F.coalesce(F.when(_parsed(outer).isNotNull(), outer), F.when(_parsed(body).isNotNull(), body), F.regexp_replace(body, '""', '"'))
     row = row.withColumns({"f": fields(F.col("value")), "body": kept}).withColumn("v", _parsed(F.col("body")))
@@ -121,9 +174,9 @@ def canonical(name: Column) -> Column:
     return F.coalesce(F.try_element_at(table, key), key)
 
 
-def json_objects(raw: DataFrame, text: str = "value", source_format: str = "json_lines") -> DataFrame:
+def json_objects(raw: DataFrame, text: str = "value", source_format: str = "json_lines", loose_: bool = False) -> DataFrame:
     """Raw records from objects, one for each row of raw: one level of nesting hoisted, keys made canonical; of equal
-    names the last counts (the keys of a nested object come in alphabetical order)."""
+    names the last counts (the keys of a nested object come in alphabetical order). loose_: no request is taken for granted."""
     entries = "array<struct<key:string,value:variant>>"
     row = raw.where(stripped(F.col(text)).startswith("{")).withColumn("m", F.map_entries(F.from_json(text, "map<string,variant>"))).where("m IS NOT NULL")
     inner = lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>"))
@@ -135,16 +188,25 @@ def json_objects(raw: DataFrame, text: str = "value", source_format: str = "json
     every = F.array_join(F.transform("e", lambda x: F.coalesce(F.try_variant_get(x["value"], "$", "string"), F.lit("None"))), " ")
     names = [n for n in S.RAW if n not in ("source_file", "source_format")]
     row = row.select("path", "_ord", "source_file", F.coalesce(value("source_format"), F.lit(source_format)).alias("source_format"), *[value(n).alias(n) for n in names], given.alias("_given"), every.alias("_every"), F.coalesce(value("provider"), value("psp_name")).alias("_provider"))
-    request = F.when(F.col("_given"), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
+    request = F.when(F.col("_given") | F.lit(loose_), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
     return row.where(is_withdrawal(request, F.coalesce("psp", "_provider"), F.col("event_type"), F.concat_ws(" ", "_every", "source_file", "source_format"))).drop("_given", "_every", "_provider")
 
 
-def json_array(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Whole files that are one array of objects; what isn't an object is left out, an invalid file gives nothing."""
+def whole_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, source_file, value): each file's whole text in one row."""
     m = "_metadata."
-    whole = spark.read.text(paths, wholetext=True).select(F.col(m + "file_path").alias("path"), F.col(m + "file_name").alias("source_file"), F.from_json("value", "array<variant>").alias("a"))
-    each = whole.select("path", "source_file", F.posexplode("a").alias("i", "v"))
-    return json_objects(each.select("path", "source_file", F.struct(F.col("path").alias("p"), F.lit(0).cast("bigint").alias("b"), F.col("i").cast("bigint").alias("i")).alias("_ord"), F.to_json("v").alias("value")), source_format="json_array")
+    return spark.read.text(paths, wholetext=True).select(F.col(m + "file_path").alias("path"), F.col(m + "file_name").alias("source_file"), "value")
+
+
+def elements(whole: DataFrame) -> DataFrame:
+    """The elements of files that are one array, as lines of JSON; an invalid file gives nothing."""
+    each = whole.select("path", "source_file", F.posexplode(F.from_json("value", "array<variant>")).alias("i", "v"))
+    return each.select("path", "source_file", F.struct(F.col("path").alias("p"), F.lit(0).cast("bigint").alias("b"), F.col("i").cast("bigint").alias("i")).alias("_ord"), F.to_json("v").alias("value"))
+
+
+def json_array(whole: DataFrame) -> DataFrame:
+    """Whole files (path, source_file, value) that are one array of objects; what isn't an object is left out."""
+    return json_objects(elements(whole), source_format="json_array")
 
 
 # Delimited files with a header ------------------------------------------------------------------------------------
@@ -155,16 +217,26 @@ def headers(raw: DataFrame) -> DataFrame:
     return raw.groupBy("path").agg(F.min_by("value", "_ord").alias("h"), F.min("_ord").alias("_first")).select("path", fields(F.col("h")).alias("names"), "_first")
 
 
-def csv(raw: DataFrame, source_format: str = "csv_generic") -> DataFrame:
-    """Rows under a header: names made canonical, of equal names the last counts; fields beyond the header are dropped."""
-    rows = raw.join(headers(raw), "path").where("_ord <> _first AND value <> ''")
-    pairs = F.arrays_zip(F.transform("names", canonical).alias("n"), F.slice(fields(F.col("value")), F.lit(1), F.size("names")).alias("v"))
-    rows = rows.withColumn("e", pairs)
-    value = lambda k: filled(stripped(F.try_element_at(F.filter("e", lambda x: x["n"] == k), F.lit(-1))["v"]))
+def _cells(raw: DataFrame) -> DataFrame:
+    """Rows under a header: names and cells, an array of the row's fields; blank lines are no rows."""
+    raw = logical(raw)
+    return per_file(raw, headers(raw)).where("_ord <> _first AND value <> ''").withColumn("cells", fields(F.col("value")))
+
+
+def csv(raw: DataFrame, source_format: str = "csv_generic", loose_: bool = False) -> DataFrame:
+    """Rows under a header: names made canonical, of equal names the last counts; fields beyond the header are dropped.
+
+    loose_: as the loose reading has it, with what stands in the file only: no request is taken for granted, and
+    values aren't trimmed."""
+    rows = _cells(raw)
+    rows = rows.withColumn("e", F.arrays_zip(F.transform("names", canonical).alias("n"), F.slice("cells", F.lit(1), F.size("names")).alias("v")))
+    text = (lambda c: c) if loose_ else stripped
+    value = lambda k: filled(text(F.try_element_at(F.filter("e", lambda x: x["n"] == k), F.lit(-1))["v"]))
     zero = lambda k: F.when(number(value(k)) != 0, value(k))
     names = [n for n in S.RAW if n not in ("source_file", "source_format", "latency_ms", "amount")]
-    out = rows.select("path", "_ord", "source_file", F.lit(source_format).alias("source_format"), *[value(n).alias(n) for n in names], zero("latency_ms").alias("latency_ms"), zero("amount").alias("amount"), F.exists("e", lambda x: x["n"] == "request").alias("_given"), F.array_join("e.v", " ").alias("_every"))
-    request = F.when(F.col("_given"), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
+    numbers = [value(c).alias(c) if loose_ else zero(c).alias(c) for c in ("latency_ms", "amount")]
+    out = rows.select("path", "_ord", "source_file", F.lit(source_format).alias("source_format"), *[value(n).alias(n) for n in names], *numbers, F.exists("e", lambda x: x["n"] == "request").alias("_given"), F.array_join("e.v", " ").alias("_every"))
+    request = F.when(F.col("_given") | F.lit(loose_), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
     return out.where(is_withdrawal(request, F.col("psp"), F.col("event_type"), F.concat_ws(" ", "_every", "source_file", "source_format"))).drop("_given", "_every")
 
 
@@ -178,6 +250,8 @@ LOOSE = {
     "error": r'(?i)\b(?:error|reason|failure_reason|decline_reason)\b["\s:=]+"?([A-Z_]+)"?',
     "timestamp": r"(\d{4}[/\-]\d{2}[/\-]\d{2}[\sT]\d{2}:\d{2}:\d{2})", "id": r'(?i)\b(?:id|tx_id|transaction_id)\b["\s:=]+"?([^\s",]+)"?',
 }
+#: The share of objects among a file's lines, and the names of a header, from which a file is read as such.
+HALF, LEAST_NAMES = 0.50, 3
 SPEAKS = r"(?i)\b(?:withdrawal|withdraw|/withdrawals/|payout|disbursement|remittance)\b"
 
 
@@ -194,16 +268,80 @@ def loose(raw: DataFrame) -> DataFrame:
     return row.select("path", "_ord", "source_file", F.lit("adaptive_unknown").alias("source_format"), *LOOSE, "field_coverage")
 
 
+def _covered(df: DataFrame) -> DataFrame:
+    return df.withColumn("field_coverage", coverage([F.col(c) for c in ("psp", "bank", "country", "status", "amount", "latency_ms")]))
+
+
+def adaptive(raw: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Files of unknown layout, each read by the first of these that gives records: an array of objects (of `whole`, files as
+    whole_files() has them), lines of which at least half are objects, rows under a header of three names or more, and
+    the first value of each name in lines that speak of a withdrawal. All files are read in one go; one row for each is
+    what decides. With field_coverage. No names that a file doesn't hold are taken for granted."""
+    text = stripped(F.col("value"))
+    object_ = text.startswith("{") & F.schema_of_variant(_parsed(text)).startswith("OBJECT")
+    told = raw.groupBy("path").agg(F.count_if(text != "").alias("n"), F.count_if(F.coalesce(object_, F.lit(False))).alias("objects"))
+    cells = _cells(raw)
+    # a row longer than its header has no name for what is left over, so the file isn't read this way
+    rows = cells.groupBy("path").agg(F.max(F.size("cells") - F.size("names")).alias("over"), F.min(F.size(F.array_distinct("names"))).alias("width"))
+    told = told.join(rows, "path", "left")
+    array = F.lit(False)
+    if whole is not None:
+        first = F.get(F.from_json("value", "array<variant>"), F.lit(0))
+        arrays = whole.where(stripped(F.col("value")).startswith("[")).select("path", F.schema_of_variant(first).startswith("OBJECT").alias("array"))
+        told = told.join(arrays, "path", "left")
+        array = F.coalesce("array", F.lit(False))
+    tier = F.when(array, 1).when((F.col("objects") > 0) & (F.col("objects") / F.col("n") >= HALF), 2).when((F.col("width") >= LEAST_NAMES) & (F.col("over") <= 0), 3).otherwise(4)
+    told = told.select("path", tier.alias("_tier"))
+    rows = told.take(FILES + 1)
+    few = len(rows) <= FILES
+    told = F.broadcast(raw.sparkSession.createDataFrame(rows, told.schema)) if few else told.hint("merge")
+    of = lambda df, k: df.join(told, "path").where(F.col("_tier") == k).drop("_tier")
+    name = "adaptive_unknown"
+    readers = {
+        1: lambda: _covered(json_objects(elements(of(whole, 1)), source_format=name, loose_=True)), 2: lambda: _covered(json_objects(of(raw, 2), source_format=name, loose_=True)),
+        3: lambda: _covered(csv(of(raw, 3), name, loose_=True)), 4: lambda: loose(of(raw, 4))}
+    wanted = {r["_tier"] for r in rows} if few else set(readers) - {1} | ({1} if whole is not None else set())
+    parts = [readers[k]() for k in sorted(wanted | {4})]
+    return together(parts)
+
+
 def remapped(entries: Column, mapping: Column) -> Column:
     """Entries (key, value) with keys renamed by a learned mapping; keys it doesn't know stay."""
     return F.transform(entries, lambda e: F.struct(F.coalesce(F.try_element_at(mapping, e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
 
 
-def learned_csv(raw: DataFrame, mapping: dict[str, str], format_name: str) -> DataFrame:
+def _mapping(mapping: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]) if mapping else F.create_map().cast("map<string,string>")
+
+
+def _named(rows: DataFrame, value) -> DataFrame:
+    """What entries `e` hold of each raw field; a learned format's records carry no file and no format."""
+    names = [n for n in S.RAW if n not in ("source_file", "source_format")]
+    out = rows.select("path", "_ord", F.lit("").alias("source_file"), F.lit("").alias("source_format"), *[value(n).alias(n) for n in names], F.array_join(F.transform("e", lambda x: F.coalesce(x["value"].cast("string"), F.lit("None"))), " ").alias("_every"))
+    return out.where(is_withdrawal(F.col("request"), F.col("psp"), F.col("event_type"), F.col("_every"))).drop("_every")
+
+
+def learned_csv(raw: DataFrame, mapping: dict[str, str], format_name: str = "") -> DataFrame:
     """Rows under a header whose names an approved learned format maps."""
-    names = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]) if mapping else F.create_map().cast("map<string,string>")
-    rows = raw.join(headers(raw), "path").where("_ord <> _first AND value <> ''")
-    e = F.transform(F.arrays_zip(F.col("names").alias("key"), F.slice(fields(F.col("value")), F.lit(1), F.size("names")).alias("value")), lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
-    rows = rows.withColumn("e", remapped(e, names))
-    value = lambda k: filled(F.try_element_at(F.filter("e", lambda x: x["key"] == k), F.lit(-1))["value"])
-    return _withdrawals(rows.select("path", "_ord", F.lit("").alias("source_file"), F.lit("").alias("source_format"), *[value(n).alias(n) for n in S.RAW if n not in ("source_file", "source_format")]))
+    pairs = F.arrays_zip(F.col("names").alias("key"), F.slice("cells", F.lit(1), F.size("names")).alias("value"))
+    rows = _cells(raw).withColumn("e", remapped(pairs, _mapping(mapping)))
+    return _named(rows, lambda k: filled(F.try_element_at(F.filter("e", lambda x: x["key"] == k), F.lit(-1))["value"]))
+
+
+def learned_json(raw: DataFrame, mapping: dict[str, str], format_name: str = "") -> DataFrame:
+    """Objects, one for each line that begins with a brace, whose outer keys an approved learned format maps.
+
+    For a file that is one array, raw is what elements() makes of it."""
+    rows = raw.where(stripped(F.col("value")).startswith("{")).withColumn("m", F.map_entries(F.from_json("value", "map<string,variant>"))).where("m IS NOT NULL")
+    rows = rows.withColumn("v", remapped(F.col("m"), _mapping(mapping)))
+    texts = F.transform("v", lambda x: F.struct(x["key"].alias("key"), F.try_variant_get(x["value"], "$", "string").alias("value")))
+    return _named(rows.withColumn("e", texts), lambda k: truthy(F.try_element_at(F.filter("v", lambda x: x["key"] == k), F.lit(-1))["value"]))
+
+
+def learned_text(raw: DataFrame, mapping: dict[str, str], format_name: str) -> DataFrame:
+    """Like loose(), each name renamed by an approved learned format; a core field renamed to another is no longer one."""
+    row = raw.where(F.col("value").rlike(SPEAKS)).withColumns({f"_{n}": filled(F.regexp_extract("value", p, 1)) for n, p in LOOSE.items()})
+    sources = {k: [f"_{n}" for n in reversed(LOOSE) if mapping.get(n, n) == k] for k in (n for n in S.RAW if n not in ("source_file", "source_format"))}
+    none = F.lit(None).cast("string")
+    row = _covered(row.withColumns({k: F.coalesce(*v) if v else none for k, v in sources.items()})).where("field_coverage > 0")
+    return row.select("path", "_ord", "source_file", F.lit(format_name).alias("source_format"), *sources, "field_coverage")

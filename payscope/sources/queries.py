@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = F.col("event_type") == "error"
     return e.select(
         k, F.col("ts"), F.concat(F.lit("tx-"), k).alias("id"), F.concat(F.lit("PSP_"), k % 6).alias("psp"), pick("ING", "UniCredit", "Santander").alias("bank"), pick("DE", "FR", "IT", "ES").alias("country"),
-        F.when(bad, "FAILED").otherwise("SUCCESS").alias("status"), F.round("value", 2).alias("amount"), F.round(F.col("value") * 3, 2).alias("latency"), F.when(bad, "TIMEOUT").alias("error"))
+        F.when(bad, "FAILED").otherwise("SUCCESS").alias("status"), F.round("value", 2).alias("amount"), F.col("value").alias("raw_value"), F.round(F.col("value") * 3, 2).alias("latency"), F.when(bad, "TIMEOUT").alias("error"))
 
 
 def as_lines(df: DataFrame, value, path: str = "made") -> DataFrame:
@@ -87,12 +88,14 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_BACK)
 def json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrays of up to a thousand objects, each a file's text, taken apart as json_array() does."""
-    df = rendered(spark, sf_dir).select("event_id", _json(_OTHER).alias("o"))
-    files = df.groupBy((F.col("event_id") / 1000).cast("bigint").alias("f")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("o"), ", "), F.lit("]")).alias("value"))
-    each = files.select("f", F.posexplode(F.from_json("value", "array<variant>")).alias("i", "v"))
-    made = each.select(F.col("f").cast("string").alias("path"), F.col("f").cast("string").alias("source_file"), F.struct(F.col("f").cast("string").alias("p"), F.lit(0).cast("bigint").alias("b"), F.col("i").cast("bigint").alias("i")).alias("_ord"), F.to_json("v").alias("value"))
-    return back(logs.json_objects(made, source_format="json_array"))
+    """Files of up to a thousand objects, each one array."""
+    return back(logs.json_array(arrays(rendered(spark, sf_dir), _json(_OTHER))))
+
+
+def arrays(df: DataFrame, objects) -> DataFrame:
+    """Whole files as sources.logs.whole_files gives them: the events' objects, a thousand to an array."""
+    f = F.concat(F.lit("made"), (F.col("event_id") / 1000).cast("bigint").cast("string"))
+    return df.groupBy(f.alias("path")).agg(F.concat(F.lit("["), F.array_join(F.collect_list(objects), ", "), F.lit("]")).alias("value")).select("path", F.col("path").alias("source_file"), "value")
 
 
 @query(_BACK)
@@ -108,12 +111,68 @@ def adaptive_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back(raw).join(raw.select("id", "field_coverage"), "id")
 
 
+_NAMES = dict(zip(["ref", "acq", "fin", "land", "state", "sum", "took", "why"], ["id", "psp", "bank", "country", "status", "amount", "latency_ms", "error"], strict=True))
+_VALUES = ["id", "psp", "bank", "country", "status", "amount", "latency", "error"]
+
+
 @query(_BACK)
 def tier0_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.concat_ws(",", "id", "psp", "bank", "country", "status", F.col("amount").cast("string"), F.col("latency").cast("string"), F.coalesce("error", F.lit("")))
-    names = ["ref", "acq", "fin", "land", "state", "sum", "took", "why"]
-    mapping = dict(zip(names, ["id", "psp", "bank", "country", "status", "amount", "latency_ms", "error"], strict=True))
-    return back(logs.learned_csv(with_header(rendered(spark, sf_dir), ",".join(names), line), mapping, "learned"))
+    row = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _VALUES])
+    return back(logs.learned_csv(with_header(rendered(spark, sf_dir), ",".join(_NAMES), row), _NAMES))
+
+
+@query(_BACK)
+def tier0_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A learned format over lines of objects, and over files that are one array."""
+    df, names = rendered(spark, sf_dir), dict(zip(_VALUES, _NAMES, strict=True))
+    lines = as_lines(df.where("event_id % 2 = 0"), _json(names))
+    return back(logs.learned_json(lines.unionByName(logs.elements(arrays(df.where("event_id % 2 = 1"), _json(names))).select(lines.columns)), _NAMES))
+
+
+@query(f"SELECT NULL::VARCHAR id, id request, psp, bank, country, status, amount, latency, error FROM (SELECT {_FIELDS} FROM events)")
+def tier0_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A learned format of free text that takes the field `id` for the request and leaves the others as they are."""
+    line = F.format_string("payout id=%s psp=%s bank=%s country=%s status=%s amount=%s elapsed=%s%s", "id", "psp", "bank", "country", "status", F.col("amount").cast("string"), F.col("latency").cast("string"), F.coalesce(F.concat(F.lit(" reason="), "error"), F.lit("")))
+    raw = logs.learned_text(as_lines(rendered(spark, sf_dir), line), {"id": "request"}, "learned")
+    return raw.select("id", "request", "psp", "bank", "country", "status", number(F.col("amount")).alias("amount"), number(F.col("latency_ms")).alias("latency"), "error")
+
+
+def _files(df: DataFrame, value) -> DataFrame:
+    """Events dealt to ten files of unknown layout."""
+    f = F.concat(F.lit("odd"), (F.col("event_id") % 10).cast("string"))
+    return df.select(f.alias("path"), f.alias("source_file"), F.struct(f.alias("p"), F.lit(0).cast("bigint").alias("b"), F.col("event_id").alias("i")).alias("_ord"), value.alias("value"))
+
+
+_COVERED = f"SELECT id, 1.0::DOUBLE field_coverage, psp, bank, country, status, amount, latency, error FROM (SELECT event_id, {_FIELDS} FROM events)"
+
+
+def _adapted(raw: DataFrame) -> DataFrame:
+    return back(raw).join(raw.select("id", "field_coverage"), "id")
+
+
+@query(f"{_COVERED} WHERE event_id % 10 < 5 OR event_id % 20 < 10")
+def adaptive_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five files of objects only, and five of which every other line is one: half are enough."""
+    noise = (F.col("event_id") % 10 >= 5) & (F.col("event_id") % 20 >= 10)
+    return _adapted(logs.adaptive(_files(rendered(spark, sf_dir), F.when(noise, "no object, {broken").otherwise(_json(_OTHER, nested=True)))))
+
+
+@query(_COVERED)
+def adaptive_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = arrays(rendered(spark, sf_dir), _json(_OTHER))
+    lines = whole.select("path", "source_file", F.struct(F.col("path").alias("p"), F.lit(0).cast("bigint").alias("b"), F.lit(0).cast("bigint").alias("i")).alias("_ord"), "value")
+    return _adapted(logs.adaptive(lines, whole))
+
+
+@query(_COVERED)
+def adaptive_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten files of rows under a header, a quoted field over two lines in each row."""
+    df = rendered(spark, sf_dir)
+    heads = _files(df.select((F.col("event_id") % 10).alias("event_id")).distinct(), F.lit("TX_ID,processor,issuer,region,status,value,elapsed,failure_reason,note"))
+    heads = heads.withColumn("_ord", F.col("_ord").withField("i", F.lit(-1).cast("bigint")))
+    row = F.concat_ws(",", "id", "psp", "bank", "country", "status", F.col("amount").cast("string"), F.col("latency").cast("string"), F.coalesce("error", F.lit("")))
+    first, second = (_files(df, v).withColumn("_ord", F.col("_ord").withField("i", F.col("_ord.i") * 2 + k)) for k, v in enumerate((F.concat(row, F.lit(',"first')), F.lit('second, third"'))))
+    return _adapted(logs.adaptive(logs.together([heads, first, second])))
 
 
 _KINDS = ("json_lines", "azure_withdrawal_csv", "freetext_numbered", "csv_generic", "unknown", "json_array")
@@ -139,18 +198,22 @@ def fingerprint_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", R.fingerprint(F.array(F.col("event_type"), F.lit(" Psp"), F.concat(F.lit("k"), F.col("event_id") % 3))).alias("fingerprint"))
 
 
-@query("""SELECT * FROM (VALUES ('processor', 'psp'), ('issuer', 'bank'), ('region', 'country'), ('result', 'status'), ('value', 'amount'), ('resp_time', 'latency_ms')) t(raw, canonical)""")
+@query("""SELECT event_id, raw, canonical FROM events, (VALUES (0, 'processor', 'psp'), (0, 'issuer', 'bank'), (0, 'amount_usd', 'amount'), (1, 'Region ', 'country'), (1, 'outcome', 'status'), (1, 'total_amount', 'amount')) t(m, raw, canonical) WHERE event_id % 2 = m""")
 def field_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(list(L.map_fields("processor issuer region result value resp_time decline_code".split()).items()), "raw string, canonical string")
+    """Each event has a header; a field that an earlier column has taken isn't given again."""
+    k = F.col("event_id")
+    names = lambda *v: F.array(*map(F.lit, v))
+    header = F.when(k % 2 == 0, names("processor", "psp_id", "issuer", "amount_usd", "volume")).otherwise(names("Region ", "outcome", "total_amount", "k3"))
+    return D.table(spark, sf_dir, "events").select("event_id", F.explode(L.mapping_of(header)).alias("raw", "canonical"))
 
 
-@query("""WITH f AS (SELECT 'file_' || event_id file_name, CASE WHEN event_id % 5 = 0 THEN 'new' ELSE 'sha_' || event_id END sha256, event_id k FROM events WHERE event_id % 3 < 2)
-SELECT file_name, sha256, k % 6 NOT IN (0, 4) OR k % 5 = 0 OR k % 3 = 1 AND k % 6 <> 4 process, CASE WHEN k % 3 = 1 OR k % 5 = 0 THEN 1 WHEN k % 6 = 3 THEN 2 ELSE 0 END attempt FROM f""".replace("k % 6 NOT IN (0, 4) OR k % 5 = 0 OR k % 3 = 1 AND k % 6 <> 4", "k % 3 = 1 OR k % 5 = 0 OR k % 6 = 3"))
+@query("""WITH f AS (SELECT 'file_' || event_id file_name, CASE WHEN event_id % 5 = 0 THEN 'new' ELSE 'sha_' || event_id END sha256, event_id k FROM events)
+SELECT file_name, sha256, k % 3 > 0 OR k % 5 = 0 OR k % 6 = 3 process, CASE WHEN k % 3 > 0 OR k % 5 = 0 THEN 1 WHEN k % 6 = 3 THEN 2 ELSE 0 END attempt FROM f""")
 def registry_needs_processing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files 0 of 3 are known, done if 0 of 6, else tried once after two older entries; of each 5th the content is new."""
     e = D.table(spark, sf_dir, "events").select(F.col("event_id").alias("k"))
     name, sha = F.concat(F.lit("file_"), "k"), F.concat(F.lit("sha_"), "k")
-    files = e.where("k % 3 < 2").select(name.alias("file_name"), F.when(F.col("k") % 5 == 0, "new").otherwise(sha).alias("sha256"))
+    files = e.select(name.alias("file_name"), F.when(F.col("k") % 5 == 0, "new").otherwise(sha).alias("sha256"))
     old = e.where("k % 3 = 0").withColumn("t", F.explode(F.array(F.lit(1), F.lit(2))))
     entries = old.select(name.alias("file_name"), F.when(F.col("t") == 2, sha).otherwise("older").alias("sha256"), F.when((F.col("k") % 6 == 0) & (F.col("t") == 2), "SUCCESS").otherwise("PARTIAL").alias("status"), F.lit(1).alias("attempt"), F.lit("2026-01-01").alias("processed_at"), F.col("t").alias("_seq"))
     return R.needs_processing(files, entries)
@@ -161,14 +224,10 @@ SELECT f, field, hits::DOUBLE / n share FROM (SELECT f, 'psp' field, sum(psp) hi
 def learner_field_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id")
     line = F.concat(F.lit("x "), F.when(k % 4 == 0, "psp=A ").otherwise(""), F.when(k % 11 == 0, "bank: B ").otherwise(""), F.when(k % 2 == 0, "amount=1.5").otherwise(""))
-    t = D.table(spark, sf_dir, "events").select((k % 10).alias("f"), line.alias("line"))
-    fields = ("psp", "bank", "amount")
-    hits = t.groupBy("f").agg(F.count("*").alias("n"), *[F.count_if(F.col("line").rlike(f"(?i){L.IN_TEXT[c]}")).alias(c) for c in fields])
-    long = hits.unpivot(["f", "n"], list(fields), "field", "hits")
-    return long.where(F.col("hits") / F.col("n") >= L.LEAST_SHARE).select("f", "field", (F.col("hits") / F.col("n")).alias("share"))
+    return L.field_hits(D.table(spark, sf_dir, "events").select((k % 10).alias("f"), line.alias("value")), "f")
 
 
-@query("SELECT 'f' || event_id fingerprint, CASE WHEN event_id % 2 = 0 THEN ['k' || event_id % 5] ELSE ['k' || event_id % 5, 'issuer'] END::VARCHAR unmapped FROM events".replace("::VARCHAR", "").replace("CASE WHEN event_id % 2 = 0 THEN ['k' || event_id % 5] ELSE ['k' || event_id % 5, 'issuer'] END", "CASE WHEN event_id % 2 = 0 THEN 'k' || event_id % 5 ELSE 'k' || event_id % 5 || ',issuer' END"))
+@query("SELECT 'f' || event_id fingerprint, CASE WHEN event_id % 2 = 0 THEN 'k' || event_id % 5 ELSE 'k' || event_id % 5 || ',issuer' END unmapped FROM events")
 def unmapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("event_id")
     odd = F.concat(F.lit("k"), k % 5)
@@ -189,17 +248,18 @@ def workbook(rows: list[list]) -> bytes:
     return out.getvalue()
 
 
-@query()
+@query(f"SELECT id, psp, amount volume, '2026-04-16T10:00:00' AS \"timestamp\", status, true is_valid FROM (SELECT {_FIELDS} FROM events)".replace("round(value, 2) amount", "round(abs(value) + 1, 2) amount"))
 def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A workbook written to a shared folder and read back."""
-    import os
-    import tempfile
-
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
-    path = os.path.join(folder.removeprefix("file://").removeprefix("file:"), "payscope_scan.xlsx")
-    with open(path, "wb") as f:
-        f.write(workbook([["ID", "PSP", "amount", "timestamp", "status"], *[[f"tx-{i}", f"PSP_{i % 6}", i * 1.5, "2026-04-16 10:00:00", "SUCCESS"] for i in range(50)]]))
-    return N.normalize(xlsx.read(spark, path)).select("id", "psp", "volume", "timestamp", "status", "is_valid")
+    """The events in workbooks of up to a thousand rows, read back."""
+    df = rendered(spark, sf_dir).withColumn("value", F.round(F.abs(F.col("raw_value")) + 1, 2)).withColumn("file", (F.col("event_id") / 1000).cast("bigint"))
+
+    def written(group: pa.Table) -> pa.Table:
+        rows = [["ID", "PSP", "bank", "country", "amount", "timestamp", "status"]]
+        rows += [[r["id"], r["psp"], r["bank"], r["country"], r["value"], "2026-04-16 10:00:00", r["status"]] for r in group.to_pylist()]
+        return pa.table({"path": [f"made{group['file'][0].as_py()}.xlsx"], "content": pa.array([workbook(rows)], pa.binary())})
+
+    files = df.select("file", "id", "psp", "bank", "country", "value", "status").groupBy("file").applyInArrow(written, "path string, content binary")
+    return N.normalize(xlsx.records(files)).select("id", "psp", "volume", "timestamp", "status", "is_valid")
 
 
 @query()

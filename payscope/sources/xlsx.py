@@ -62,11 +62,14 @@ def sheet_rows(content: bytes) -> list[list[str | None]]:
 
 
 def read(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Raw records: header lower-cased and trimmed, `col_i` where it is empty, no other names, no filter.
+    return records(spark.read.format("binaryFile").load(paths).select("path", "content"))
+
+
+def records(files: DataFrame) -> DataFrame:
+    """Raw records of workbooks (path, content): header lower-cased and trimmed, `col_i` where it is empty, no other names, no filter.
 
     A workbook that can't be read gives one row with its `_error`. Files carry no source_file or format, as they
     carry none in the record rules."""
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
     types = {"path": pa.string(), "i": pa.int64(), "cells": pa.map_(pa.string(), pa.string()), "_error": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

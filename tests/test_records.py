@@ -92,7 +92,7 @@ def test_json_types_and_collisions(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, objects)) + "\n{broken\n\n")
     (tmp_path / "b.json").write_text(json.dumps(objects))
     lines = logs.json_objects(logs.lines(spark, str(tmp_path / "a.jsonl")))
-    for df in (lines, logs.json_array(spark, str(tmp_path / "b.json"))):
+    for df in (lines, logs.json_array(logs.whole_files(spark, str(tmp_path / "b.json")))):
         got = df.orderBy("_ord").collect()
         assert [(r["id"], r["psp"], r["status"], r["amount"], r["latency_ms"]) for r in got] == [("1", "P", None, None, "0"), ("2", "R", "False", "2.5", None), (None, None, None, None, None)]
 
@@ -107,12 +107,91 @@ def test_run_over_a_folder(spark, tmp_path):
     (logs_ / "skipped.bin").write_text("x")
     (logs_ / "book.xlsx").write_bytes(workbook([["id", "psp", "timestamp", ""], ["x1", "A", "2026-04-16 00:00:00", "y"], ["x2", "", "2026-04-16 00:00:00", "y"]]))
     asked = []
-    out = pipeline.run(spark, str(logs_), str(tmp_path / "out"), decide=lambda p, offer: asked.append(p) or "A")
+
+    def decide(path, offer):
+        asked.append(offer)
+        return "A"
+
+    out = pipeline.run(spark, str(logs_), str(tmp_path / "out"), decide=decide)
     by_file = {f["file"]: f for f in out["files"]}
-    assert {f: (x["format"], x["records"], x["rejected"]) for f, x in by_file.items()} == {
-        "azure.txt": ("azure_withdrawal_csv", 29, 1), "free.log": ("freetext_numbered", 9, 0), "odd.log": ("unknown", 0, 1), "book.xlsx": ("xlsx", 1, 1)}
-    assert len(asked) == 1 and out["valid"].count() == 39 and "## Executive Summary" in out["report"]
-    assert {p.name.rsplit("_", 2)[0] for p in (tmp_path / "out").glob("*/*")} == {"withdrawals", "rejected", "metrics", "report", "run"}
+    assert {f: (x["format"], x["records"], x["rejected"], x["status"]) for f, x in by_file.items()} == {
+        "azure.txt": ("azure_withdrawal_csv", 29, 1, "OK"), "free.log": ("freetext_numbered", 9, 0, "OK"), "odd.log": ("unknown", 0, 1, "OK"), "book.xlsx": ("xlsx", 1, 1, "OK")}
+    assert len(asked) == 1 and asked[0]["file"] == "odd.log" and asked[0]["sample_lines"].startswith("no layout") and "0.30 < threshold 0.70" in asked[0]["reason"]
+    assert by_file["odd.log"]["method"] == "adaptive_approved" and by_file["book.xlsx"]["flags"][0] == "HIGH_REJECTION_RATE:50.0%"
+    assert out["valid"].count() == 39 and "## Executive Summary" in out["report"]
+    assert {p.name.rsplit("_", 2)[0] for p in (tmp_path / "out").glob("*/*")} == {"withdrawals", "rejected", "metrics", "report", "run", "processed", "formats"}
+    entries = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out" / "audit" / "*")).collect()]
+    told = {e["file_name"]: e for e in entries if "file_name" in e}
+    assert told["azure.txt"]["parsing_method"] == "rules_based" and "body.psp->psp" in told["azure.txt"]["field_mappings_applied"] and told["odd.log"]["human_approval_flags"][0] == "USER_APPROVED_LOW_CONFIDENCE"
+    assert [e["total_files"] for e in entries if e.get("event") == "RUN_COMPLETE"] == [4]
+    # what is done is left out; the file without a valid record is tried again
+    again = pipeline.run(spark, str(logs_), str(tmp_path / "out"), decide=decide)
+    assert [(f["file"], f["attempt"]) for f in again["files"]] == [("odd.log", 2)]
+    assert len(pipeline.run(spark, str(logs_), str(tmp_path / "out"), decide=decide, everything=True)["files"]) == 4
+
+
+def test_a_broken_file_leaves_the_others(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    line = "1. 2026/04/16 13:20:05 - Withdrawal processed - PSP: A, Bank: C, Country: fr, Status: Success, Amount: 1.5, Latency: 90ms"
+    for name in ("good.log", "bad.log"):
+        (tmp_path / "in" / name).write_text(line)
+    (tmp_path / "in" / "book.xlsx").write_bytes(b"no workbook")
+    read = pipeline.READERS["freetext_numbered"]
+    monkeypatch.setitem(pipeline.READERS, "freetext_numbered", lambda raw: read(raw).withColumn("psp", F.when(F.col("path").endswith("bad.log"), F.raise_error(F.lit("a bad block"))).otherwise(F.col("psp"))))
+    out = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {f["file"]: (f["status"], f["records"]) for f in out["files"]} == {"good.log": ("OK", 1), "bad.log": ("ERROR", 0), "book.xlsx": ("NO_RECORDS", 0)}
+    assert "XLSX_ERROR: BadZipFile" in next(f for f in out["files"] if f["file"] == "book.xlsx")["errors"][0]
+    entries = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out" / "audit" / "*")).collect()]
+    assert [e["context"] for e in entries if e.get("event") == "PIPELINE_ERROR"] == ["bad.log"] and "a bad block" in str(entries)
+    processed = {r["file_name"]: r["status"] for r in R.read_processed(spark, str(tmp_path / "out" / "registry" / "processed")).collect()}
+    assert processed == {"good.log": "SUCCESS", "bad.log": "ERROR", "book.xlsx": "PARTIAL"}
+
+
+def test_learned_formats_are_kept_and_used(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = [{"who": "A", "transfer": "payout", "bank": "B", "sum": i + 1, "at": "2026-04-16 10:00:00"} for i in range(6)]
+    (tmp_path / "in" / "half.log").write_text("# noise\n" * 5 + "\n".join(map(json.dumps, rows)))
+    (tmp_path / "in" / "left.log").write_text("payout psp=A\n")
+    out, state = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out")), str(tmp_path / "out" / "registry" / "formats")
+    assert {f["file"]: (f["status"], f["flags"]) for f in out["files"]} == {n: ("SKIPPED_BY_USER", ["USER_REJECTED_LOW_CONFIDENCE"]) for n in ("half.log", "left.log")}
+    formats = R.read_formats(spark, state)
+    entry = R.pending(formats).first()
+    assert formats.count() == 1 and entry["format_name"].startswith("learned_json_lines_") and entry["field_mapping"] == {"bank": "bank", "sum": "amount"} and entry["file_examples"] == ["half.log"]
+    assert R.entry(formats, entry["fingerprint"]).count() == 1 and "Mapped fields (2):" in L.summary(entry.asDict())
+    mapped = formats.withColumn("field_mapping", F.map_concat("field_mapping", F.create_map(F.lit("who"), F.lit("psp"), F.lit("at"), F.lit("timestamp"))))
+    R.save_formats(R.approve(mapped, entry["fingerprint"]), state)
+    out = pipeline.run(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert {f["file"]: f["records"] for f in out["files"]} == {"half.log": 6, "left.log": 0} and [r["psp"] for r in out["valid"].collect()] == ["A"] * 6
+    assert R.read_formats(spark, state).first()["times_seen"] == 2 and [o["file"] for o in out["offers"].values()] == ["left.log"]
+
+
+def test_adaptive_cascade(spark, tmp_path):
+    texts = {
+        "array": json.dumps([{"id": 1, "provider": "P", "d": {"value": 2}}, {"note": "payout"}, {"note": "other"}]), "lines": '{"id": 2, "psp": "Q"}\nx', "few": '{"id": 3, "psp": "Q"}\npayout psp=R id=4\ny',
+        "csv": 'id,psp,note\n5,S,"a payout\nover two lines"\n6,,other\n', "over": "id,psp,note\n7,T,x,y payout psp=U\n", "two": "id,psp\n8,V\n", "empty": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.log").write_text(text)
+    got = logs.adaptive(logs.lines(spark, str(tmp_path)), logs.whole_files(spark, str(tmp_path))).collect()
+    # an object says nothing of withdrawals unless it names a provider or the word: no request is taken for granted
+    assert sorted((r["source_file"][:-4], r["id"], r["psp"], r["field_coverage"]) for r in got if r["id"]) == [("array", "1", "P", 0.333), ("csv", "5", "S", 0.167), ("few", "4", "R", 0.167), ("lines", "2", "Q", 0.167)]
+    assert sorted((r["source_file"][:-4], r["psp"]) for r in got if not r["id"]) == [("array", None), ("over", "U")]
+
+
+def test_rows_over_several_lines(spark, tmp_path):
+    import csv
+    import io
+
+    text = 'id,psp,note\n1,A,"one\ntwo ""quoted""\n\nthree"\n2,B,plain\n3,"C\nD",x\n'
+    (tmp_path / "a.csv").write_text(text)
+    got = logs.csv(logs.lines(spark, str(tmp_path / "a.csv"))).orderBy("_ord").select("id", "psp").collect()
+    assert [tuple(r) for r in got] == [(r["id"], r["psp"]) for r in csv.DictReader(io.StringIO(text))]
+    # blocks: a row that begins in one block ends in another
+    parts = [(f"{b}", b, i, v) for b, i, v in ((0, 0, "id,psp,note"), (0, 1, '1,A,"x'), (64, 2, "y"), (128, 3, 'z",w'), (128, 4, "2,B,c"))]
+    raw = spark.createDataFrame(parts, "k string, b long, i long, value string").select(F.lit("f").alias("path"), F.lit("f").alias("source_file"), F.struct(F.lit("f").alias("p"), "b", "i").alias("_ord"), "value")
+    assert sorted(r["value"] for r in logs.logical(raw).collect()) == ['1,A,"x\ny\nz",w', "2,B,c", "id,psp,note"]
+    torn = raw.withColumn("value", F.when(F.col("_ord.i") == 3, "no end").when(F.col("_ord.i") == 2, F.repeat(F.lit("y"), logs.ROW_CHARS)).otherwise(F.col("value")))
+    assert logs.logical(torn).count() == 5
 
 
 def test_detection(spark, tmp_path):
@@ -125,6 +204,11 @@ def test_detection(spark, tmp_path):
 def test_learning_and_registry(spark):
     entry = L.learn("x.csv", "processor,issuer,region,result,value,resp_time,decline_code\nA,B,DE,OK,1,2,")
     assert entry["learned_confidence"] == 1.0 and entry["fingerprint"] == L.file_fingerprint("processor,issuer,region,result,value,resp_time,decline_code\n") and L.learn("x", "") is None
+    objects = "\n".join('{"b": %d, "psp": "x"}' % i for i in range(8))
+    found = L.learn("x.log", objects + "\n" + "noise\n" * 12)
+    assert found["format_name"].startswith("learned_json_lines_") and found["raw_columns"] == ["b", "psp"] and found["sample_values"]["b"] == ["0", "1", "2"]
+    assert L.learn("x.log", objects, n_lines=21) is None or L.learn("x.log", objects, n_lines=21)["extraction_hint"] != "json_keys"
+    assert L.learn("x.csv", "one,two\n1,2")["format_name"].startswith("learned_csv_") and L.learn("x.csv", "one,two\n1,2")["field_mapping"] == {} and L.learn("x.json", '[{"z": 1, "a": 2}]')["raw_columns"] == ["a", "z"]
     assert L.learn("x.txt", "psp: A bank: B\npsp: C bank: D")["field_mapping"] == {"psp": "regex:psp", "bank": "regex:bank"}
     empty = spark.createDataFrame([], R.FORMATS)
     row = {**entry, "detected_at": None, "last_seen": None, "times_seen": None, "approved": None}
