@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """df, computed once and kept on the executors' disks: for narrow tables of a few steps' lineage, recomputed where an executor is lost."""
+    return df.persist(StorageLevel.DISK_ONLY)
+
+
 def release(df: DataFrame | None) -> None:
-    """Deletes what materialize() wrote, once nothing reads it any more."""
+    """Deletes what materialize() wrote or lets go of what kept() holds, once nothing reads it any more."""
     path = getattr(df, "_payscope_path", None)
+    if df is not None and not path:
+        df.unpersist()
     if path:
         spark = df.sparkSession
         hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

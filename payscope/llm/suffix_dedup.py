@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import BROADCAST_ROWS, flagged, lookup, materialize, release, skewed
+from payscope.llm.common import BROADCAST_ROWS, flagged, kept, lookup, materialize, release, skewed
 
 LENGTH = 400
 GRAM = 64
@@ -203,49 +203,50 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int
     source = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
     rows = materialize(source.mapInArrow(_sampled, "doc_id bigint, n_bytes bigint, sha binary, names array<bigint>"))
     # texts that stand once or first; the others are removed whole
-    classes = materialize(rows.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")))
-    heads = materialize(rows.join(classes.where("doc_id IS NOT NULL").select("sha", "doc_id").hint("merge"), ["sha", "doc_id"]).select("sha", "doc_id", F.explode("names").alias("name")))
-    names = materialize(heads.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"))
-    wanted = materialize(skewed(heads, names, ["name"], "n", heads.count()).groupBy("sha", "doc_id").agg(F.collect_set("name").alias("names")))
+    classes = kept(rows.where(f"n_bytes >= {LENGTH}").groupBy("sha").agg(F.count("*").alias("copies"), F.min("doc_id").alias("doc_id")))
+    heads = kept(rows.join(classes.where("doc_id IS NOT NULL").select("sha", "doc_id").hint("merge"), ["sha", "doc_id"]).select("sha", "doc_id", F.explode("names").alias("name")))
+    names = kept(heads.groupBy("name").agg(F.count("*").alias("n")).where("n > 1"))
+    wanted = kept(skewed(heads, names, ["name"], "n", heads.count()).groupBy("sha", "doc_id").agg(F.collect_set("name").alias("names")))
     # texts that hold a name that stands twice, with the places of such names; the other texts stay where they are
-    held = wanted.hint("merge").join(flagged(source, wanted, "doc_id", wanted.count()), "doc_id").mapInArrow(_placed, "sha binary, _t binary, name array<bigint>, ctx array<bigint>, place array<bigint>, left array<int>, size array<int>, runs array<struct<start:bigint,end:bigint>>")
+    # the small side of each join with texts is hashed, so that texts needn't be sorted
+    held = wanted.hint("shuffle_hash").join(flagged(source, wanted, "doc_id", wanted.count()), "doc_id").mapInArrow(_placed, "sha binary, _t binary, name array<bigint>, ctx array<bigint>, place array<bigint>, left array<int>, size array<int>, runs array<struct<start:bigint,end:bigint>>")
     held = materialize(held)
     places = held.select("sha", F.explode(F.arrays_zip("name", "ctx", "place", "left", "size")).alias("p")).select("sha", "p.*")
-    by_context = materialize(places.groupBy("name", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("sha", "place")).alias("w")))
-    several = materialize(by_context.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1"))
+    by_context = kept(places.groupBy("name", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("sha", "place")).alias("w")))
+    several = kept(by_context.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1"))
     n_contexts, n_places = by_context.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     asked = skewed(by_context, several, ["name"], "kinds", n_contexts).select("w.sha", F.struct("name", "ctx", "n", "kinds", "w.place").alias("q")).groupBy("sha").agg(F.collect_list("q").alias("qs"))
-    bytes_of = asked.hint("merge").join(held.select("sha", "_t"), "sha").mapInArrow(_contexts, "task binary, low int, high int, name bigint, ctx bigint, n bigint, left int, bytes binary")
+    bytes_of = asked.hint("shuffle_hash").join(held.select("sha", "_t"), "sha").mapInArrow(_contexts, "task binary, low int, high int, name bigint, ctx bigint, n bigint, left int, bytes binary")
     bytes_of = materialize(bytes_of)
-    crowded = materialize(bytes_of.groupBy("task").count().where(F.col("count") > crowd).select("task"))
+    crowded = bytes_of.groupBy("task").count().where(F.col("count") > crowd).select("task")
     n_crowded = crowded.count()
     few = bytes_of
     if n_crowded:
         crowded = F.broadcast(crowded) if n_crowded <= BROADCAST_ROWS else crowded.hint("merge")
         few = bytes_of.join(crowded, "task", "left_anti").select(bytes_of.columns)
-    answers = materialize(few.repartition("task").sortWithinPartitions("task").mapInArrow(_compared, "name bigint, ctx bigint, low int, high int"))
+    answers = few.repartition("task").sortWithinPartitions("task").mapInArrow(_compared, "name bigint, ctx bigint, low int, high int")
     if n_crowded:
         answers = answers.unionByName(_counted(bytes_of.join(crowded, "task", "left_semi").select(bytes_of.columns)))
     answers = answers.groupBy("name", "ctx").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    known = materialize(by_context.select("name", "ctx", "n").join(answers.hint("merge"), ["name", "ctx"], "left"))
+    known = kept(by_context.select("name", "ctx", "n").join(answers.hint("merge"), ["name", "ctx"], "left"))
     found = skewed(places, known, ["name", "ctx"], "n", n_places)
     whole = (F.col("n") > 1) & (F.col("size") >= LENGTH)
     start = F.when(whole, F.col("place") - F.col("left")).otherwise(F.col("place") + F.col("low"))
     end = F.when(whole, F.col("place") - F.col("left") + F.col("size")).otherwise(F.col("place") + F.col("high"))
     found = found.select("sha", F.struct(start.alias("start"), end.alias("end")).alias("r")).where("r.start IS NOT NULL").unionByName(held.select("sha", F.explode("runs").alias("r"))).groupBy("sha").agg(F.collect_set("r").alias("rs"))
     single = found.join(classes.where("copies = 1").select("sha").hint("merge"), "sha")
-    cut = single.hint("merge").join(held.select("sha", "_t"), "sha").mapInArrow(_removed, "sha binary, n_removed bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
-    cut = materialize(cut)
+    cut = single.hint("shuffle_hash").join(held.select("sha", "_t"), "sha").mapInArrow(_removed, "sha binary, n_removed bigint, kept_sha256 string, spans array<struct<start:bigint,end:bigint>>")
     copied = classes.where("copies > 1").select("sha", "copies", F.lit(True).alias("copied"))
     out = skewed(rows.select("doc_id", "n_bytes", "sha"), copied, ["sha"], "copies", rows.count(), "left").join(cut.hint("merge"), "sha", "left")
-    for used in (heads, names, wanted, held, by_context, several, bytes_of, crowded if not n_crowded else None, known):
-        release(used)
     gone = F.coalesce("copied", F.lit(False)) & (F.col("n_bytes") >= LENGTH)
     spans = F.when(gone, F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("n_bytes").alias("end")))).otherwise(F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)")))
-    return out.select(
+    out = materialize(out.select(
         "doc_id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"), F.size(spans).cast("long").alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"), spans.alias("spans"),
-    )
+    ))
+    for used in (rows, classes, heads, names, wanted, held, by_context, several, bytes_of, known):
+        release(used)
+    return out
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
