@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import materialize, release, skewed
+from payscope.llm.common import kept, materialize, release, skewed
 
 MAX_ROUNDS = 40
 
@@ -22,14 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
         if not stamp[0]:
             break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        starred = _star(both, F.least(F.min("b"), F.col("a")), 2 * stamp[0])
-        large = materialize(starred.where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        starred = _star(large, F.min("b"), 2 * stamp[0])
+        starred, centres = _star(both, F.least(F.min("b"), F.col("a")), 2 * stamp[0])
+        large = kept(starred.where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        starred, others = _star(large, F.min("b"), 2 * stamp[0])
         pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
         following = materialize(starred.select(pairs.alias("e")).select("e.*").where("a <> b").distinct())
         new = _stamp(following)
-        release(now)
-        release(large)
+        for used in (now, large, centres, others):
+            release(used)
         now, old, stamp = following, stamp, new
         if new == old:
             break
@@ -37,10 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct().join(roots.select("node"), "node", "left_anti"))
 
 
-def _star(edges: DataFrame, least: Column, total: int) -> DataFrame:
-    """edges with m, the least node of the star around a; centres of many leaves don't gather them in a task."""
-    centres = materialize(edges.groupBy("a").agg(least.alias("m"), F.count("*").alias("_leaves")))
-    return skewed(edges, centres, ["a"], "_leaves", total)
+def _star(edges: DataFrame, least: Column, total: int) -> tuple[DataFrame, DataFrame]:
+    """edges with m, the least node of the star around a, and the centres; centres of many leaves don't gather them in a task."""
+    centres = kept(edges.groupBy("a").agg(least.alias("m"), F.count("*").alias("_leaves")))
+    return skewed(edges, centres, ["a"], "_leaves", total), centres
 
 
 def _stamp(df: DataFrame) -> tuple:

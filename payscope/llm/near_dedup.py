@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import flagged, materialize, release, skewed
+from payscope.llm.common import flagged, kept, materialize, release, skewed
 from payscope.llm.components import components
 
 K = 24
@@ -101,7 +101,7 @@ def needed(n: int, k: int, least: int, percent: int) -> int:
 def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFrame:
     """(node, root) of classes that share a list. Few, as a list needs one of a class's rarest values."""
     values = classes.select("key", "n_shingles", F.explode("sketch").alias("v"))
-    counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"))
+    counts = kept(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"))
     known = skewed(values, counts, ["v"], "df", k * classes.count())
     small = F.array(*[F.lit(needed(n, k, least, percent)) for n in range(1, k + 1)])
     need = F.when(F.col("n_shingles") > k, F.least(F.lit(least), F.ceil(F.col("n_shingles") * percent / 100))).otherwise(F.get(small, (F.col("n_shingles") - 1).cast("int")))
@@ -110,8 +110,8 @@ def gatherings(classes: DataFrame, k: int, least: int, percent: int) -> DataFram
     # sketch - need + 1 places, less the (sketch - known) single values: known - need + 1
     room = F.size("vs") - need + 1
     rare = by_class.where(room > 0).select("key", F.explode(F.slice("vs", F.lit(1), room.cast("int"))).alias("e")).select("key", "e.v")
-    rare = materialize(rare)
-    hubs = materialize(rare.groupBy("v").agg(F.min("key").alias("b"), F.count("*").alias("n")))
+    rare = kept(rare)
+    hubs = kept(rare.groupBy("v").agg(F.min("key").alias("b"), F.count("*").alias("n")))
     found = components(skewed(rare, hubs, ["v"], "n", rare.count()).select(F.col("key").alias("a"), "b"))
     for used in (counts, rare, hubs):
         release(used)
@@ -197,17 +197,17 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     gathered = gatherings(classes, k, least, percent)
     members = classes.select("key", "rep", "n_shingles").join(gathered.withColumnRenamed("node", "key").hint("merge"), "key")
-    members = materialize(members)
-    sizes = members.groupBy("root").agg(F.sum("n_shingles").alias("total"))
+    members = kept(members)
+    sizes = kept(members.groupBy("root").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("_n")))
     blocks = F.when(F.col("total") <= max_shingles, F.lit(1)).otherwise(F.ceil(F.col("total") / (max_shingles / 2))).cast("int")
-    members = members.join(sizes.hint("merge"), "root").withColumn("blocks", blocks)
+    dealt = skewed(members, sizes, ["root"], "_n", members.count()).withColumn("blocks", blocks)
     own = F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int")
-    tasks = members.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("own", own)
+    tasks = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("own", own)
     tasks = tasks.select("key", "rep", "blocks", F.concat_ws(":", F.hex("root"), F.least("own", "x"), F.greatest("own", "x")).alias("task"))
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("rep"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
     # few texts are asked for: the others stay where they are
     asked = members.where("rep IS NOT NULL").select("rep")
-    texts = tasks.where("rep IS NOT NULL").hint("merge").join(flagged(plain, asked, "rep", asked.count()), "rep")
+    texts = tasks.where("rep IS NOT NULL").hint("shuffle_hash").join(flagged(plain, asked, "rep", asked.count()), "rep")
 
     def run(group: pa.Table) -> pa.Table:
         shingler, sets, keys, reps = Shingler(width), [], [], []
@@ -232,17 +232,18 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     parts = linked.where("NOT whole")
     if not parts.isEmpty():
         label = label.unionByName(components(parts).select(F.col("node").alias("key"), F.col("root").alias("head")).where("key <> head"))
-    named = materialize(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
-    least_id = materialize(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
+    named = kept(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
+    least_id = kept(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
     total = rows.count()
-    named = materialize(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "copies"))
+    by_key = kept(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "copies"))
     found = rows.select("doc_id", "n_shingles", "key")
-    out = skewed(found.where("key IS NOT NULL"), named, ["key"], "copies", total).select("doc_id", "n_shingles", "component")
+    out = skewed(found.where("key IS NOT NULL"), by_key, ["key"], "copies", total).select("doc_id", "n_shingles", "component")
     out = out.unionByName(found.where("key IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component")))
-    for used in (classes, members, linked):
-        release(used)
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
+    out = materialize(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))
+    for used in (rows, classes, members, sizes, linked, named, least_id, by_key):
+        release(used)
+    return out
 
 
 def digest(docs: DataFrame) -> DataFrame:
