@@ -6,6 +6,7 @@ the pieces finds all candidates; the regex library's bounded-error matching then
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -62,16 +63,18 @@ class Notices:
         if not hits:
             return
         for seeds, k, n, pattern, label in self.notices:
-            windows: list[list[int]] = []
-            for begin in sorted(p - a for s, a in seeds for p in hits.get(s, ())):
-                lo, hi = max(0, begin - k), begin + n + k
-                if windows and lo <= windows[-1][1]:
-                    windows[-1][1] = max(windows[-1][1], hi)
-                else:
-                    windows.append([lo, hi])
-            for lo, hi in windows:
-                for m in pattern.finditer(flat, lo, hi):
-                    yield m.start(), m.end(), label, 1 - sum(m.fuzzy_counts) / n
+            found: dict[tuple[int, int], int] = {}
+            # each candidate in a window of its own: a best match isn't looked for beyond it
+            for begin in sorted({p - a for s, a in seeds for p in hits.get(s, ())}):
+                if m := pattern.search(flat, max(0, begin - k), begin + n + k):
+                    found[m.span()] = sum(m.fuzzy_counts)
+            # of overlapping matches the one with the fewest errors stays, then the first
+            taken: list[tuple[int, int]] = []
+            for (a, b), errors in sorted(found.items(), key=lambda x: (x[1], x[0])):
+                at = bisect.bisect_left(taken, (a, b))
+                if (at == 0 or taken[at - 1][1] <= a) and (at == len(taken) or b <= taken[at][0]):
+                    taken.insert(at, (a, b))
+                    yield a, b, label, 1 - errors / n
 
 
 def places(flat: bytes, seed: bytes) -> list[int]:
@@ -121,7 +124,8 @@ ARROW = pa.schema([
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", notices: dict[str, str] | None = None) -> DataFrame:
     """One row for each row of docs, of SCHEMA. Null and empty texts have no words, no labels and score 0.
 
-    Repeated rows give repeated results, empty tables none; other columns aren't read. The whole text is searched."""
+    Of overlapping matches of a notice the one with the fewest errors stays, then the first. Repeated rows give repeated
+    results, empty tables none; other columns, of whatever name, aren't read. The whole text is searched, however long."""
     notices = NOTICES if notices is None else notices
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -520,3 +520,82 @@ def test_redaction_of_many_spans_and_clashing_names(spark):
         for a, b in sorted((s["start"], s["end"]) for s in found[i]):
             out, at = (out + t[at:a] + "<SECRET>", b) if a >= at else (out, max(at, b))
         assert clean[i] == out + t[at:]
+
+
+def edit_ends(text, notice, k):
+    """Ends of substrings within k edits of the notice, by the table of edit distances with a free start: end -> errors."""
+    row, out = list(range(len(notice) + 1)), {}
+    for j, c in enumerate(text):
+        new = [0]
+        for i, x in enumerate(notice, 1):
+            new.append(min(row[i] + 1, new[i - 1] + 1, row[i - 1] + (x != c)))
+        row = new
+        if row[-1] <= k:
+            out[j + 1] = row[-1]
+    return out
+
+
+def test_license_spans_against_edit_distance():
+    """Every place within the errors allowed overlaps a span of its notice, and every span is such a place."""
+    rng, compiled = random.Random(6), license_scan.Notices(license_scan.NOTICES, license_scan.PHRASES)
+    letters = "abcdefghij "
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            notice = list(rng.choice(list(license_scan.NOTICES)))
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randint(0, 1)] = rng.choice(letters) * rng.randint(0, 1)
+            parts += ["".join(notice), prose(rng.randint(0, 3)) if rng.random() < 0.7 else "x"]
+        flat = license_scan.flatten(" ".join(parts).encode())[0]
+        found = [(a, b, label, s) for a, b, label, s in compiled.fuzzy(flat)]
+        for text, label in license_scan.NOTICES.items():
+            k = min(license_scan.MAX_ERRORS, len(text) // license_scan.CHARS_PER_ERROR)
+            ends = edit_ends(flat.decode(), text, k)
+            own = [(a, b) for a, b, x, s in found if x == label]
+            for end in ends:
+                assert any(a < end <= b + 2 * k + 1 and b <= end + 2 * k + 1 or a <= end - len(text) // 2 <= b for a, b in own), (text, flat, end)
+        for a, b, label, score in found:
+            assert any(l == label and any(e <= b <= e + 1 or e == b for e in edit_ends(flat.decode()[:b], t, license_scan.MAX_ERRORS)) for t, l in license_scan.NOTICES.items())
+
+
+def test_adjacent_license_notices_are_both_found():
+    compiled = license_scan.Notices(license_scan.NOTICES, license_scan.PHRASES)
+    flat = license_scan.flatten(b"released under the mit licence x released under the mit license")[0]
+    assert [(flat[a:b].strip(), round(s, 2)) for a, b, _, s in sorted(compiled.fuzzy(flat))] == [(b"released under the mit licence", 0.97), (b"released under the mit license", 1.0)]
+
+
+def test_language_against_a_plain_version():
+    """The document's vector by its definition: letters' vectors, rolled by place, multiplied and summed."""
+    import numpy as np
+
+    encode = language_id.Encoder(64)
+    letters = encode.by_place[2]
+    for text in ("one two  three", "Ünïcode 東京 -- x", "a", "aa bb aa", LONG[:500]):
+        codes = [int(encode.table[ord(c)]) for c in text.lower()]
+        tight = [0]
+        for c in [*codes, 0]:
+            if c or tight[-1]:
+                tight.append(c)
+        want = np.zeros(64)
+        for x, y, z in zip(tight, tight[1:], tight[2:], strict=False):
+            want += np.roll(letters[x], 2) * np.roll(letters[y], 1) * letters[z]
+        assert encode(text).tolist() == want.tolist()
+    assert encode("123 !") is None
+
+
+def test_random_spans_against_a_plain_version(spark, docs):
+    """Tokens that overlap no rule span, scored by the two chains' table one character after the other."""
+    model, n = secret_scan.train(secret_scan.default_samples(spark, 500)), len(secret_scan.ALPHABET)
+    rng = random.Random(12)
+    kinds = ["wJalrXUtnFEMIK7MDENGbPxRfiCYzX93kQq1Lm", "getUserAccountByNameAndValue", "the", "token=abcdefgh", "0123456789abcdef0123456789", "A" * 30]
+    rows = [(i, " ".join(rng.choice(kinds) + "".join(rng.choices(secret_scan.ALPHABET, k=rng.randint(0, 5))) for _ in range(12))) for i in range(40)]
+    for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect():
+        base, want = base_spans(r["text"]), []
+        for m in re.finditer(secret_scan.TOKEN, r["text"]):
+            codes = [0] + [secret_scan.ALPHABET.index(c) + 1 for c in m[0]]
+            score = sum(model[a * n + b - 1] for a, b in zip(codes, codes[1:], strict=False))
+            free = not any(a < m.end() and m.start() < b for a, _, b in base)
+            if free and score >= secret_scan.MIN_TOTAL and score >= secret_scan.MIN_MEAN * len(m[0]):
+                want.append((m.start(), m.end()))
+        assert [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == 3] == want
