@@ -130,18 +130,20 @@ def skewed(big: DataFrame, small: DataFrame, keys: list[str], weight: str, total
     return big.join(F.broadcast(hot), keys).unionByName(rest.join(cold.hint("merge"), keys, how))
 
 
-def flagged(big: DataFrame, wanted: DataFrame, key: str, n: int) -> DataFrame:
+def flagged(big: DataFrame, wanted: DataFrame, key: str, n: int, keep: bool = True) -> DataFrame:
     """Rows of big whose key may be among the n keys of wanted: a filter of one hash before an exchange, not a join.
+    keep=False: the others, whose key surely isn't.
 
     8 bits for each wanted key, broadcast as 64-bit words, MAX_WORDS of them at most. Beyond, every row is let through."""
     words = 1 << max(10, (n // 8).bit_length())
     if words > MAX_WORDS:
-        return big
+        return big if keep else big.limit(0)
     bit = F.pmod(F.xxhash64(key), F.lit(64 * words))
     place, mask = F.shiftright(bit, 6), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{key}`), 64) as int))")
     flags = wanted.select(place.alias("_place"), mask.alias("_mask")).groupBy("_place").agg(F.bit_or("_mask").alias("_flags"))
-    held = big.withColumns({"_place": place, "_mask": mask}).join(F.broadcast(flags), "_place")
-    return held.where(F.col("_flags").bitwiseAND(F.col("_mask")) != 0).drop("_place", "_mask", "_flags")
+    held = big.withColumns({"_place": place, "_mask": mask}).join(F.broadcast(flags), "_place", "left")
+    on = F.coalesce(F.col("_flags").bitwiseAND(F.col("_mask")) != 0, F.lit(False))
+    return held.where(on if keep else ~on).drop("_place", "_mask", "_flags")
 
 
 def global_running(df: DataFrame, order: list[Column], sums: dict[str, Column], rows: int) -> DataFrame:

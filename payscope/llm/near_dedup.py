@@ -69,23 +69,24 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, width: int, k: int) -> DataFrame:
-    """(doc_id, n_shingles, key, sketch) of each row; key is null for an empty set."""
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+def sketches(docs: DataFrame, doc_id: str, text: str, width: int, k: int, mark: str | None = None) -> DataFrame:
+    """(doc_id, mark, n_shingles, key, sketch) of each row; key is null for an empty set."""
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(width)
         for batch in batches:
             n, keys, lists = [], [], []
-            for raw in batch.column(1):
+            for raw in batch.column(2):
                 s = shingler(raw.as_py())
                 n.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
                 lists.append(s[:k].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(x, t) for x, t in zip((n, keys, lists), kinds[1:], strict=True)]], ["doc_id", "n_shingles", "key", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, t) for x, t in zip((n, keys, lists), kinds, strict=True)]], ["doc_id", "mark", "n_shingles", "key", "sketch"])
 
-    chosen = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
-    return chosen.mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, sketch array<bigint>")
+    own = F.col(f"`{mark}`") if mark else F.lit(None)
+    chosen = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), own.cast("bigint").alias("mark"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
+    return chosen.mapInArrow(run, "doc_id bigint, mark bigint, n_shingles bigint, key binary, sketch array<bigint>")
 
 
 def needed(n: int, k: int, least: int, percent: int) -> int:
@@ -185,15 +186,16 @@ class _Lists:
         return np.bincount(np.concatenate(parts), minlength=self.n) if parts else np.zeros(self.n, np.int64)
 
 
-def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, k: int = K, least: int = LEAST, max_shingles: int = MAX_SHINGLES) -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, kept.
+def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, k: int = K, least: int = LEAST, max_shingles: int = MAX_SHINGLES, mark: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id, kept; with mark, the name of a column of whole
+    numbers, also its value as `mark` and the component as `head`, which rows without an id have too (null: no shingles).
 
     component_id is the least doc_id of the component, kept tells whether it is the row's own. Null and empty texts
     have no shingles and are linked with nothing. Rows with equal sets are linked, rows of one doc_id included (a
     repeated row has the same component; both copies are kept). Null ids are never the least; a text that no row with an
     id holds is linked with equal sets only. Shingles are told by 64-bit hashes. Texts are read whole, however long.
     Empty tables give no rows; other columns, of whatever name, aren't read."""
-    rows = materialize(sketches(docs, doc_id, text, width, k))
+    rows = materialize(sketches(docs, doc_id, text, width, k, mark))
     classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     gathered = gatherings(classes, k, least, percent)
     members = classes.select("key", "rep", "n_shingles").join(gathered.withColumnRenamed("node", "key").hint("merge"), "key")
@@ -235,12 +237,12 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     named = kept(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
     least_id = kept(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
     total = rows.count()
-    by_key = kept(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "copies"))
-    found = rows.select("doc_id", "n_shingles", "key")
-    out = skewed(found.where("key IS NOT NULL"), by_key, ["key"], "copies", total).select("doc_id", "n_shingles", "component")
-    out = out.unionByName(found.where("key IS NULL").select("doc_id", "n_shingles", F.lit(None).cast("bigint").alias("component")))
+    by_key = kept(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "head", "copies"))
+    found = rows.select("doc_id", "mark", "n_shingles", "key")
+    out = skewed(found.where("key IS NOT NULL"), by_key, ["key"], "copies", total).select("doc_id", "mark", "n_shingles", "component", "head")
+    out = out.unionByName(found.where("key IS NULL").select("doc_id", "mark", "n_shingles", F.lit(None).cast("bigint").alias("component"), F.lit(None).cast("binary").alias("head")))
     component = F.coalesce("component", "doc_id")
-    out = materialize(out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))
+    out = materialize(out.select("doc_id", *["mark", "head"] * bool(mark), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))
     for used in (rows, classes, members, sizes, linked, named, least_id, by_key):
         release(used)
     return out
