@@ -1,17 +1,19 @@
 """The corpus pipeline: language ID, near-duplicates, benchmark decontamination, secrets, and mixing by source.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept. Stages 1 to 3 drop documents,
-the fourth changes texts, the last says how many words of each document the mix takes. Rows without a doc_id can't be
-named as a member of a group and stay in stage 2. Null texts go in stage 1, as no language can be told.
+the fourth changes texts, the last says how many words of each document the mix takes. Null texts go in stage 1, as no
+language can be told. Every other column stays as it is, whatever its name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.llm import decontaminate, language_id, mixture, near_dedup, secret_scan
-from payscope.llm.common import BROADCAST_ROWS, materialize, table
+from payscope.llm.common import flagged, materialize, skewed, table
 
 #: Cosine below which a text is taken for no language that the prototypes know.
 MIN_LANGUAGE_SCORE = 0.05
@@ -33,16 +35,22 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = materialize(near_dedup.find(docs.select("doc_id", "text")).where("doc_id IS NOT NULL"))
-    gone = found.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("NOT kept").select("doc_id")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone.hint("merge")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*_columns(docs))
-    repeated = found.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return kept
-    # rows that repeat a doc_id and its text
-    apart = kept.join(repeated.hint("merge"), "doc_id", "left_anti").select(*_columns(docs))
-    return apart.unionByName(kept.join(repeated.hint("merge"), "doc_id", "left_semi").select(*_columns(docs)).dropDuplicates(["doc_id", "text"]))
+    """Of each group the row with the least doc_id stays, rows without one last; of rows equal in doc_id and text one.
+
+    Rows are told apart by a hash of both. Those that surely stay aren't moved."""
+    marked = docs.select(F.struct(*_columns(docs)).alias("_row"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("_mark"))
+    found = near_dedup.find(marked.select("doc_id", "text", "_mark"), mark="_mark").where("head IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark"))
+    least = materialize(found.groupBy("head").agg(first.alias("r"), F.count("*").alias("n")).where("n > 1"))
+    sure = skewed(found.select("head", "doc_id", "mark"), least, ["head"], "n", found.count())
+    sure = sure.withColumn("stays", (F.col("mark") == F.col("r.mark")) & F.col("doc_id").eqNullSafe(F.col("r.doc_id")))
+    # rows of a group of several, but the one that stays; that one too if it stands more than once
+    doubt = sure.groupBy("mark").agg(F.max("stays").alias("stays"), F.count("*").alias("times")).where("NOT stays OR times > 1")
+    doubt = materialize(doubt.select(F.col("mark").alias("_mark"), "stays"))
+    rows, n = marked.select("_row", "_mark"), doubt.count()
+    met = flagged(rows, doubt, "_mark", n).join(doubt.hint("shuffle_hash"), "_mark", "left")
+    parts = [flagged(rows, doubt, "_mark", n, keep=False), met.where("stays IS NULL").select("_row", "_mark"), met.where("stays").select("_row", "_mark").dropDuplicates(["_mark"])]
+    return reduce(DataFrame.unionByName, parts).select("_row.*")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +69,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("secrets", secrets), ("mix", mix)]
 
-#: SQL can express neither the learned stages nor the mix's draws; tests/llm holds the stages against brute force.
+#: SQL can express neither the learned stages nor the mix's draws; tests/llm/test_pipeline.py holds the stages against plain versions.
 ORACLE_SQL = None
 
 
