@@ -66,7 +66,7 @@ def sampled(key: Column, salt: str, fraction: float) -> Column:
 def learn(labelled: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]:
     """Prototypes from (doc_id, text, lang). Rows with a null text or lang are skipped.
 
-    Reads all rows to count each language's, learns from about train_docs of each language, so that none is lost among
+    Repeated rows are all taken or all left; an empty table gives no prototypes. Reads all rows to count each language's, learns from about train_docs of each language, so that none is lost among
     many rows of others; what reaches the driver is a count and, from each of 8 tasks, a vector for each language."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -98,7 +98,8 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
     """The columns `keep` of docs, with lang_pred and score (the cosine, 0 at least).
 
     Null and empty texts, texts without a letter, and all texts where nothing was learned give `und` and 0. Every row
-    stays, repeated ones too. Ties go to the first language in code point order."""
+    stays, repeated ones too. Ties go to the first language in code point order. Texts are read whole, however long;
+    empty tables give no rows; no column of docs but `keep` and the text is read, and none of `keep` may have a result's name."""
     names = sorted(prototypes)
     matrix = np.array([prototypes[k] for k in names], np.float32)
     chosen = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text_read"))

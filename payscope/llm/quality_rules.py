@@ -79,7 +79,8 @@ def apply_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", hos
     base_failed: fewer than MIN_WORDS words, or more than MAX_REPEAT_PERCENT of them in repeated windows.
     rule_failed: base_failed, or too many symbols or repeated lines. A host's rate of rule failures is shrunk with
     the beta prior of all hosts; above MAX_HOST_RATE its documents go. On other hosts, what passes the base stays.
-    Null hosts form one host. Null and empty texts fail the base. Repeated rows each count. Empty tables give none."""
+    Null hosts form one host. Null and empty texts fail the base. Repeated rows each count, also where only their doc_id
+    repeats. Empty tables give none. Texts are read whole, however long; other columns, of whatever name, aren't read."""
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), key_of(f"`{host}`").alias("host"), measures(F.col(f"`{text}`")).alias("_m"))
     narrow = narrow.select("doc_id", "host", "_m.*").withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))

@@ -235,7 +235,9 @@ def learn(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> b
     """A pickled Chain from documents (doc_id, text) and labels (doc_id, toxic), fitted in one task.
 
     Labels are sampled by a hash, to about train_docs toxic ones and CLEAN_PER_TOXIC times as many clean ones, before
-    they meet the texts, so what is broadcast and what the task holds is bounded. Rows with a null id or label are skipped."""
+    they meet the texts, so what is broadcast and what the task holds is bounded. Rows with a null id or label are skipped;
+    a document with both labels counts with each; rows that repeat a doc_id are all read. Without labels or documents
+    every score is that of no evidence."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in known.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
     keep = F.lit(False)
@@ -256,8 +258,8 @@ def score(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "te
     """One row for each row of docs: doc_id, score, spans.
 
     spans: array<struct<start, end, score>> in code points, of words whose marginal reaches one half. Null and empty
-    texts have no words and the score of a text without marks. Repeated rows give repeated results; other columns
-    aren't read; texts are read whole."""
+    texts have no words and the score of a text without marks. Repeated rows give repeated results, empty tables none;
+    a score of exactly one half is toxic. Other columns, of whatever name, aren't read; texts are read whole, however long."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

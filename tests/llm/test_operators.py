@@ -599,3 +599,61 @@ def test_random_spans_against_a_plain_version(spark, docs):
             if free and score >= secret_scan.MIN_TOTAL and score >= secret_scan.MIN_MEAN * len(m[0]):
                 want.append((m.start(), m.end()))
         assert [(s["start"], s["end"]) for s in r["secrets"] if s["kind"] == 3] == want
+
+
+def test_hot_keys(spark, monkeypatch):
+    """Half of the rows are copies of one text, near copies of it share their rarest values, a passage stands in most, one source holds them."""
+    from payscope.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rng = random.Random(11)
+    base, passage = prose(60).split(), prose(100)
+    texts = [" ".join(base)] * 40
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(9)}"
+        texts.append(" ".join(w) if i % 2 else f"{prose(rng.randint(1, 20))} {passage} {prose(rng.randint(1, 20))}")
+    rows = [(i, t, "hot" if i % 10 else f"s{i % 4}") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    same([tuple(r) for r in near_dedup.digest(df).collect()], components_of([r[:2] for r in rows]))
+    same([tuple(r) for r in suffix_dedup.digest(df).collect()], passages([r[:2] for r in rows]))
+    got = quality_rules.digest(df).collect()
+    same([(r["doc_id"], *[r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]) for r in got], [(i, *quality(t)) for i, t, _ in rows])
+
+
+def test_flags_and_skewed_joins(spark, monkeypatch):
+    from payscope.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    rng = random.Random(13)
+    big = [(rng.choice([1, 1, 1, 2, 3, 4, 5, 6, None]), i) for i in range(200)]
+    count = collections.Counter(k for k, _ in big)
+    small = [(k, count[k], f"v{k}") for k in (1, 2, 3, 9)]
+    b, s = spark.createDataFrame(big, "k long, i long"), spark.createDataFrame(small, "k long, n long, v string")
+    value = {k: v for k, _, v in small}
+    for how in ("inner", "left"):
+        want = [(k, i, value.get(k)) for k, i in big if how == "left" or k in value]
+        same([(r["k"], r["i"], r["v"]) for r in common.skewed(b, s, ["k"], "n", 200, how).collect()], want)
+    wanted = spark.createDataFrame([(3,), (5,)], "k long")
+    on, off = ([r["k"] for r in common.flagged(b, wanted, "k", 2, keep).select("k").collect()] for keep in (True, False))
+    same(on + off, [k for k, _ in big])
+    assert {3, 5} <= set(on) and not {3, 5} & set(off)
+    monkeypatch.setattr(common, "MAX_WORDS", 1)
+    assert common.flagged(b, wanted, "k", 2).count() == 200 and common.flagged(b, wanted, "k", 2, False).count() == 0
+
+
+def test_very_long_texts(spark):
+    """Texts of 120,000 words, and of one word as long: each operator reads them whole."""
+    long_text, one = " ".join(f"w{i % 7919}" for i in range(120_000)), "ab" * 300_000
+    rows = [(1, long_text + " token=abcdefgh end", "en", "s"), (2, one, "en", "s"), (3, GERMAN[0] + " " + prose(30, GERMAN), "de", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r for r in secret_scan.digest(df).collect()}
+    assert found[1]["n_assign"] == 1 and found[1]["spans"] == f"assign:{len(long_text) + 1}:{len(long_text) + 15}"
+    assert {r["doc_id"]: r["n_words"] for r in quality_rules.digest(df).collect()} == {1: 120_002, 2: 1, 3: 31}
+    assert {r["doc_id"]: r["n_words"] for r in license_scan.digest(df).collect()}[1] == 120_003
+    assert {r["doc_id"]: r["size"] for r in mixture.digest(df).collect()} == {1: 120_002, 2: 1, 3: 31}
+    assert {r["doc_id"]: r["lang_pred"] for r in language_id.digest(df).collect()}[1] in ("en", "de")
+    assert {r["doc_id"]: r["n_shingles"] for r in near_dedup.digest(df).collect()} == {i: len(s) for (i, *_), s in zip(rows, ({tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} for w in (r[1].lower().split() for r in rows)), strict=True)}
+    assert toxicity.digest(df, spark.createDataFrame([(1, 0), (3, 1)], "doc_id long, toxic int")).count() == 3
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_dedup.digest(df).collect()}[2] == 600_000
