@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from payscope.llm.common import BROADCAST_ROWS, co_partitioned, global_running, key_of, let, lookup, materialize, release
+from payscope.llm.common import BROADCAST_ROWS, co_partitioned, global_running, kept, key_of, let, lookup, materialize, release
 
 BLOCK = 64
 #: Slots of an output shard for each source, and the least number of slots of a shard.
@@ -21,7 +21,7 @@ MIN_SLOTS = 1024
 MAX_TIMES = 3
 WEIGHTS = (1, 2, 3)
 #: Expected documents of a part; a task packs a part at a time.
-PART_ROWS = 2048
+PART_ROWS = 512
 #: Slots that one row and one task expand to, and block numbers that one row of the index of parts covers.
 CHUNK = 4096
 TASK_SLOTS = 1 << 16
@@ -92,18 +92,20 @@ def permuted(df: DataFrame, out: str, index: Column, n: Column, seed: Column) ->
 def plan(sources: DataFrame, parts: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int, int]:
     """targets() with n_blocks and the range lower .. upper of each source's slots among all; the parts with n_source,
     blocks and base, their first block's number in the source; slots in all, slots of a shard."""
-    known = materialize(targets(sources, n))
+    known = kept(targets(sources, n))
     parts = parts.withColumn("key", key_of("source")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
-    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n)
-    parts = materialize(parts.withColumn("base", F.coalesce(F.sum("blocks").over(before), F.lit(0))).select("key", "n_source", "part", "blocks", "base"))
+    # numbered through all parts, then from the first of each source on: no task gets a source's parts
+    parts = kept(lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n).select("key", "n_source", "part", "blocks"))
+    parts = kept(global_running(parts, [F.col("n_source"), F.col("part")], {"at": F.col("blocks")}, parts.count()))
+    first = parts.groupBy("n_source").agg(F.min("at").alias("first"))
+    parts = kept(lookup(parts, first, "n_source", n).select("key", "n_source", "part", "blocks", (F.col("at") - F.col("first")).alias("base")))
     blocks = parts.groupBy("n_source").agg(F.sum("blocks").alias("n_blocks"))
     df = known.join(blocks.hint("merge"), "n_source")
     # parts end in a short block: a source's slots number as many as its mean block needs to reach the target
     df = df.withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
     df = global_running(df, [F.col("n_source")], {"slots_before": F.col("slots")}, n)
     df = df.withColumn("lower", F.round("slots_before").cast("long")).withColumn("upper", F.least(F.round(F.col("slots_before") + F.col("slots")).cast("long"), F.col("lower") + MAX_TIMES * F.col("n_blocks")))
-    df = materialize(df)
+    df = kept(df)
     n_slots = df.select(F.coalesce(F.max("upper"), F.lit(0))).first()[0]
     return df, parts, n_slots, max(MIN_SLOTS, SLOTS_PER_SOURCE * n)
 
@@ -152,13 +154,13 @@ def packed(rows: DataFrame) -> DataFrame:
     return pieces.groupBy("key", "part", "local").agg(F.sort_array(F.collect_list("p")).alias("ps"))
 
 
-def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame]:
-    """The rows of docs with their places in their parts, and the rows of the mix, written to the shared folder."""
+def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """The rows of docs with their places in their parts; the rows of the mix, written to the shared folder; steps to be released."""
     t = F.col(f"`{text}`").cast("string")
     read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), n_words(t).alias("size"), F.shiftrightunsigned(F.xxhash64(F.col(f"`{doc_id}`"), t), 2).alias("hash"), t.alias("text"))
     read = read.withColumn("key", key_of("source"))
-    narrow = materialize(read.drop("text"))
-    sources = materialize(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+    whole = narrow = kept(read.drop("text"))
+    sources = kept(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
     n = sources.count()
     # all other sources are one part each
     large = sources.where(F.col("n_rows") > PART_ROWS).select(key_of("source").alias("key"), F.ceil(F.col("n_rows") / PART_ROWS).alias("n_parts"))
@@ -167,7 +169,7 @@ def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFr
     def with_part(df: DataFrame) -> DataFrame:
         return lookup(df, large, "key", n_large).withColumn("part", F.pmod("hash", F.coalesce("n_parts", F.lit(1).cast("long")))).drop("n_parts")
 
-    narrow = materialize(with_part(narrow))
+    narrow = with_part(narrow)
     planned, parts, n_slots, per_shard = plan(sources, narrow.groupBy("source", "part").agg(F.sum("size").alias("size")), n)
     drawn = lookup(_in_parts(slots(planned, n_slots, per_shard), parts), planned.select("n_source", "source"), "n_source", n)
     with co_partitioned(docs.sparkSession):
@@ -177,9 +179,7 @@ def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFr
         out = materialize(out)
     row = F.row_number().over(Window.partitionBy("key", "part").orderBy("hash", "doc_id", "size"))
     placed = lookup(narrow.withColumn("row", row), planned.select(key_of("source").alias("key"), "source_size", "target"), "key", n)
-    for used in (sources, parts):
-        release(used)
-    return placed, out
+    return placed, out, [whole, sources, parts, planned]
 
 
 def output(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -187,7 +187,10 @@ def output(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 
     text is the block's words, one space apart (white space between words isn't kept); pieces tells, in order, the
     doc_id and the count of words of each document in it. A part's last block may be short."""
-    return _mixed(docs, doc_id, text, source)[1].select("shard", "slot", "source", "block", "epoch", "text", F.transform("pieces", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["words"].alias("words"))).alias("pieces"))
+    _, out, steps = _mixed(docs, doc_id, text, source)
+    for used in steps:
+        release(used)
+    return out.select("shard", "slot", "source", "block", "epoch", "text", F.transform("pieces", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["words"].alias("words"))).alias("pieces"))
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -197,10 +200,13 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     their own; rows equal in doc_id, source and text can trade places, so reruns agree as sets of rows. Rows that share
     only a doc_id are told apart by their text. Texts are read whole, however long, twice: docs must give the same rows
     each time. Empty tables give no rows; other columns, of whatever name, aren't read."""
-    placed, mixed = _mixed(docs, doc_id, text, source)
+    placed, mixed, steps = _mixed(docs, doc_id, text, source)
     taken = mixed.select("key", "part", F.explode("pieces").alias("p")).groupBy("key", "part", "p.row").agg(F.sum("p.words").alias("taken"))
     out = placed.join(taken.hint("merge"), ["key", "part", "row"], "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    out = materialize(out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+    for used in (mixed, *steps):
+        release(used)
+    return out
 
 
 def digest(docs: DataFrame) -> DataFrame:

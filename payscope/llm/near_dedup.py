@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscope.llm.common import flagged, kept, materialize, release, skewed
+from payscope.llm.common import BROADCAST_ROWS, flagged, kept, materialize, release, skewed
 from payscope.llm.components import components
 
 K = 24
@@ -29,7 +29,7 @@ SHINGLE = 4
 PERCENT = 80
 #: The estimate drops pairs that both hold fewer than LEAST - SLACK of the K least values of their union.
 SLACK = 2
-#: Shingles of one gathering that a task takes; larger ones are cut into blocks whose pairs are tasks of their own.
+#: Shingles of one gathering that a task takes; larger ones are cut into blocks.
 MAX_SHINGLES = 4_000_000
 MAX_CACHE = 1_000_000
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -129,22 +129,26 @@ def union_overlap(sketch: np.ndarray, others: np.ndarray, k: int) -> np.ndarray:
     return (twice & (rank < k)).sum(axis=1)
 
 
-def link(sets: list[np.ndarray], k: int, least: int, percent: int) -> np.ndarray:
+def link(sets: list[np.ndarray], k: int, least: int, percent: int, joined: list[bool] | None = None, only: int | None = None) -> np.ndarray:
     """Labels of the components of the link relation among these sets; every pair across components is looked at.
 
     The set whose values are the most shared goes first: near copies of one text mostly link to it, and only sets
-    outside its component have to be compared with all others."""
+    outside its component have to be compared with all others. joined: sets known to be in one component, which are only
+    compared with others. only: the one set that is compared with all."""
     n = len(sets)
     label = np.arange(n)
+    inside = np.zeros(n, bool) if joined is None else np.array(joined, bool)
+    if inside.any():
+        label[inside] = np.flatnonzero(inside)[0]
     sizes = np.array([len(s) for s in sets])
     every = _Lists(sets)
     short = _Lists([s[:k] for s in sets])
     weight = np.array([short.shared(i).sum() for i in range(n)])
-    todo = list(np.argsort(-weight, kind="stable"))
+    todo = [only] if only is not None else list(np.argsort(-(weight + (weight.max() + 1) * inside), kind="stable"))
     hub = todo[0]
     for i in todo:
         # two sets that are both in the hub's component need no look; any other pair has one set that gets here
-        if i != hub and label[i] == label[hub]:
+        if (i != hub or inside[i]) and label[i] == label[hub]:
             continue
         near = short.shared(i) >= needed(int(sizes[i]), k, least, percent)
         near &= (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])) & (label != label[i])
@@ -196,43 +200,49 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     id holds is linked with equal sets only. Shingles are told by 64-bit hashes. Texts are read whole, however long.
     Empty tables give no rows; other columns, of whatever name, aren't read."""
     rows = materialize(sketches(docs, doc_id, text, width, k, mark))
-    classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+    classes = kept(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     gathered = gatherings(classes, k, least, percent)
     members = classes.select("key", "rep", "n_shingles").join(gathered.withColumnRenamed("node", "key").hint("merge"), "key")
     members = kept(members)
     sizes = kept(members.groupBy("root").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("_n")))
     blocks = F.when(F.col("total") <= max_shingles, F.lit(1)).otherwise(F.ceil(F.col("total") / (max_shingles / 2))).cast("int")
     dealt = skewed(members, sizes, ["root"], "_n", members.count()).withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int")
-    tasks = dealt.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("own", own)
-    tasks = tasks.select("key", "rep", "blocks", F.concat_ws(":", F.hex("root"), F.least("own", "x"), F.greatest("own", "x")).alias("task"))
     plain = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("rep"), F.col(f"`{text}`").cast("string").cast("binary").alias("_t"))
-    # few texts are asked for: the others stay where they are
-    asked = members.where("rep IS NOT NULL").select("rep")
-    texts = tasks.where("rep IS NOT NULL").hint("shuffle_hash").join(flagged(plain, asked, "rep", asked.count()), "rep")
-
-    def run(group: pa.Table) -> pa.Table:
-        shingler, sets, keys, reps = Shingler(width), [], [], []
-        seen: set[bytes] = set()
-        for key, rep, raw in zip(group["key"].to_pylist(), group["rep"].to_pylist(), group["_t"], strict=True):
-            s = shingler(raw.as_py())
-            # another row of the same doc_id may have another text
-            if key not in seen and len(s) and set_key(s) == key:
-                seen.add(key)
-                sets.append(s)
-                keys.append(key)
-                reps.append(rep)
-        first: dict[int, tuple[int, bytes]] = {}
-        labels = link(sets, k, least, percent) if sets else []
-        for c, rep, key in zip(labels, reps, keys, strict=True):
-            first[c] = min(first.get(c, (rep, key)), (rep, key))
-        heads = [first[c][1] for c in labels]
-        return pa.table({"a": pa.array(keys, pa.binary()), "b": pa.array(heads, pa.binary()), "whole": pa.array([group["blocks"][0].as_py() == 1] * len(keys), pa.bool_())})
-
-    linked = materialize(texts.select("task", "key", "rep", "blocks", "_t").groupBy("task").applyInArrow(run, "a binary, b binary, whole boolean").where("a <> b"))
-    label = linked.where("whole").select(F.col("a").alias("key"), F.col("b").alias("head"))
-    parts = linked.where("NOT whole")
-    if not parts.isEmpty():
+
+    def linked_in(tasks: DataFrame) -> DataFrame:
+        """(a, b): heads of the components within each task. tasks: task, key, rep, joined, centre."""
+        # few texts are asked for: the others stay where they are
+        asked = tasks.where("rep IS NOT NULL").select("rep").distinct()
+        texts = tasks.where("rep IS NOT NULL").hint("shuffle_hash").join(flagged(plain, asked, "rep", asked.count()), "rep")
+
+        def run(group: pa.Table) -> pa.Table:
+            shingler, sets, keys, reps, joined, only = Shingler(width), [], [], [], [], None
+            seen: set[bytes] = set()
+            columns = (group[c].to_pylist() for c in ("key", "rep", "joined", "centre"))
+            for key, rep, inside, centre, raw in zip(*columns, group["_t"], strict=True):
+                s = shingler(raw.as_py())
+                # another row of the same doc_id may have another text
+                if key not in seen and len(s) and set_key(s) == key:
+                    only = len(sets) if centre else only
+                    seen.add(key)
+                    sets.append(s)
+                    keys.append(key)
+                    reps.append(rep)
+                    joined.append(inside)
+            first: dict[int, tuple[int, bytes]] = {}
+            labels = link(sets, k, least, percent, joined, only) if sets else []
+            for c, rep, key in zip(labels, reps, keys, strict=True):
+                first[c] = min(first.get(c, (rep, key)), (rep, key))
+            return pa.table({"a": pa.array(keys, pa.binary()), "b": pa.array([first[c][1] for c in labels], pa.binary())})
+
+        return materialize(texts.select("task", "key", "rep", "joined", "centre", "_t").groupBy("task").applyInArrow(run, "a binary, b binary").where("a <> b"))
+
+    no = F.lit(False)
+    linked = linked_in(dealt.where("blocks = 1").select(F.hex("root").alias("task"), "key", "rep", no.alias("joined"), no.alias("centre")))
+    label = linked.select(F.col("a").alias("key"), F.col("b").alias("head"))
+    large = kept(dealt.where("blocks > 1"))
+    if not large.isEmpty():
+        parts = _large(large, classes, max_shingles, linked_in)
         label = label.unionByName(components(parts).select(F.col("node").alias("key"), F.col("root").alias("head")).where("key <> head"))
     named = kept(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
     least_id = kept(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
@@ -248,6 +258,34 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     return out
 
 
+def _large(members: DataFrame, classes: DataFrame, max_shingles: int, linked_in) -> DataFrame:
+    """(a, b): links that connect the components of gatherings too large for a task.
+
+    Each gathering's centre, the class whose values are the most shared, is first compared with all of it. Near copies of
+    one text mostly link to it; only classes that don't are then compared with all others, block by block."""
+    yes, no = F.lit(True), F.lit(False)
+    values = members.select("root", "key").join(classes.select("key", F.explode("sketch").alias("v")).hint("shuffle_hash"), "key")
+    shared = kept(values.groupBy("root", "v").agg(F.count("*").alias("n")))
+    weight = skewed(values, shared, ["root", "v"], "n", values.count()).groupBy("root", "key").agg(F.sum("n").alias("weight"))
+    centres = weight.groupBy("root").agg(F.max(F.struct("weight", "key"))["key"].alias("key"))
+    own = F.pmod(F.xxhash64("key", F.lit("block")), F.col("blocks")).cast("int")
+    rows = members.select("root", "key", "rep", "n_shingles", "blocks", own.alias("own"))
+    hub = centres.join(rows, ["root", "key"]).select("root", "key", "rep", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own"))
+    first = rows.select("root", "key", "rep", "own", no.alias("centre")).unionByName(hub.withColumn("centre", yes))
+    first = linked_in(first.select(F.concat_ws(":", F.hex("root"), "own").alias("task"), "key", "rep", no.alias("joined"), "centre"))
+    inside = first.select(F.col("a").alias("key")).unionByName(first.select(F.col("b").alias("key"))).distinct().withColumn("joined", yes)
+    rows = kept(rows.join(inside.hint("shuffle_hash"), "key", "left").withColumn("joined", F.coalesce("joined", no)))
+    rest = rows.where("NOT joined").groupBy("root").agg(F.ceil(F.sum("n_shingles") / (max_shingles / 2)).cast("int").alias("rest"))
+    rows = rows.join(F.broadcast(rest) if rest.count() <= BROADCAST_ROWS else rest.hint("merge"), "root")
+    # every block against each block of the classes that didn't link
+    all_of = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("rest") - 1))).withColumn("j", F.col("own"))
+    those = rows.where("NOT joined").withColumn("i", F.pmod(F.xxhash64("key", F.lit("rest")), F.col("rest")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = all_of.unionByName(those).select(F.concat_ws(":", F.hex("root"), "i", "j").alias("task"), "key", "rep", "joined", no.alias("centre"))
+    out = first.unionByName(linked_in(tasks))
+    release(shared)
+    return out
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns of op9."""
     return find(docs)
