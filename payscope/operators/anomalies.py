@@ -59,3 +59,8 @@ def detect(metrics: DataFrame, records: DataFrame | None = None) -> DataFrame:
 
 def needs_approval(anomalies: DataFrame) -> DataFrame:
     return anomalies.agg(F.coalesce(F.bool_or("requires_approval"), F.lit(False)).alias("needs_approval"), F.count_if("requires_approval").alias("n_to_approve"))
+
+
+def severity_counts(anomalies: DataFrame) -> DataFrame:
+    """(severity, n) of the anomalies found, as a run tells them."""
+    return anomalies.groupBy("severity").agg(F.count("*").alias("n"))

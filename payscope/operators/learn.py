@@ -14,6 +14,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payscope.functions.scalars import exact_round
+
 CORE = ("psp", "bank", "country", "status", "amount", "latency_ms")
 #: Names by which a canonical field is known, the most telling first.
 SIMILAR = [
@@ -60,6 +62,11 @@ def mapping_of(columns: Column) -> Column:
     return F.map_from_entries(F.aggregate(fits, F.array().cast("array<struct<key:string,value:string>>"), claim))
 
 
+def confidence_of(mapping: Column) -> Column:
+    """confidence() of a map column."""
+    return exact_round(F.size(F.filter(F.map_values(mapping), lambda f: f.isin(*CORE))).cast("double") / len(CORE), 3)
+
+
 def confidence(mapping: dict[str, str]) -> float:
     return round(sum(f in CORE for f in mapping.values()) / len(CORE), 3)
 

@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 FORMS = ("MM/dd/yyyy, HH:mm:ss.SSSSSS", "yyyy/MM/dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss,SSSSSS", "yyyy-MM-dd HH:mm:ss", "dd/MMM/yyyy:HH:mm:ss")
 FORMATS = ("azure_withdrawal_csv", "freetext_numbered", "json_lines", "csv_generic")
+SPREAD = ("events", "lineitem")
 ERRORS = ("NETWORK_ERROR", "TIMEOUT", "DECLINED", "INSUFFICIENT_FUNDS")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; one of fewer splits than there are cores is spread over them, as one task would else do all of its rows' work."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in SPREAD and df.rdd.getNumPartitions() < cores else df
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw record for each event, its customer's segment as bank and nation as country; _ord is the event."""
+    """One raw record for each event, its customer's segment as bank and nation as country; _ord is the event.
+
+    Nations are broadcast: there are 25 of them at any size."""
     events, customer, nation = (table(spark, sf_dir, t) for t in ("events", "customer", "nation"))
     people = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_mktsegment", "n_name")
     e = events.join(people, F.col("user_id") == F.col("c_custkey"))

@@ -275,7 +275,7 @@ def run(spark: SparkSession, folder: str, out: str, decide: Callable[[str, dict]
     valid, rejected = N.split_valid(records)
     metrics, by_psp = M.by_group(valid), M.by_psp(valid)
     anomalies = A.detect(metrics, valid)
-    result = {"run_id": run_id, "records": records, "valid": valid, "rejected": rejected, "metrics": metrics, "by_psp": by_psp, "anomalies": anomalies, "files": stats, "offers": asked}
+    result = {"run_id": run_id, "records": records, "valid": valid, "rejected": rejected, "metrics": metrics, "by_psp": by_psp, "anomalies": anomalies, "severities": A.severity_counts(anomalies), "files": stats, "offers": asked}
     trouble = spark.createDataFrame([(report.error_entry(run_id, name, text),) for name, text in files.trouble], "value string")
 
     def close(trail: DataFrame) -> None:

@@ -157,8 +157,14 @@ for _name, _detector in (("rule_zero_success", "ZERO_SUCCESS"), ("rule_failure_s
     _rule(_name, _detector)
 
 
-@query(O.query(f"SELECT 'CONFIDENCE_DROP' detector, 'HIGH' severity, 'ALL' psp, 'ALL' bank, 'ALL' country, 'avg_confidence' metric, {O.rounded('mean', 3)} \"value\", 0.7::DOUBLE threshold, concat('Average record confidence ', printf('%.3f', {O.rounded('mean', 3)}), ' < threshold 0.7 — review parsing quality') message, true requires_approval FROM c WHERE mean < 0.7",
-    f"c0 AS (SELECT raw_conf * 0.3::DOUBLE x, is_valid FROM (SELECT r3.*, flags NOT LIKE '%MISSING%' AND n = 1 is_valid FROM r3))", f"c1 AS (SELECT {O.rounded('y', 3)} conf FROM (SELECT CASE WHEN x > 1 THEN 1.0 ELSE x END y, is_valid FROM (SELECT present / 6.0::DOUBLE * 0.3::DOUBLE * quality x, is_valid FROM c2)) WHERE is_valid)", "c AS (SELECT sum(conf::DECIMAL(28,10))::DOUBLE / count(*) mean FROM c1)").replace("c0 AS", "c2 AS (SELECT ((psp <> '')::INT + 2 + (status <> 'UNKNOWN')::INT + (volume IS NOT NULL)::INT + (latency_ms IS NOT NULL)::INT) present, (CASE source_format WHEN 'azure_withdrawal_csv' THEN 1.0 WHEN 'freetext_numbered' THEN 1.0 WHEN 'json_lines' THEN 0.95 ELSE 0.85 END)::DOUBLE quality, flags NOT LIKE '%MISSING%' AND n = 1 is_valid FROM r3),\nc0 AS"))
+_MEAN = O.rounded("mean", 3)
+
+
+@query(O.query(
+    f"SELECT 'CONFIDENCE_DROP' detector, 'HIGH' severity, 'ALL' psp, 'ALL' bank, 'ALL' country, 'avg_confidence' metric, {_MEAN} \"value\", 0.7::DOUBLE threshold, concat('Average record confidence ', printf('%.3f', {_MEAN}), ' < threshold 0.7 — review parsing quality') message, true requires_approval FROM c WHERE mean < 0.7",
+    "c2 AS (SELECT ((psp <> '')::INT + 2 + (status <> 'UNKNOWN')::INT + (volume IS NOT NULL)::INT + (latency_ms IS NOT NULL)::INT) present, (CASE source_format WHEN 'azure_withdrawal_csv' THEN 1.0 WHEN 'freetext_numbered' THEN 1.0 WHEN 'json_lines' THEN 0.95 ELSE 0.85 END)::DOUBLE quality, flags NOT LIKE '%MISSING%' AND n = 1 is_valid FROM r3)",
+    f"c1 AS (SELECT {O.rounded('y', 3)} conf FROM (SELECT CASE WHEN x > 1 THEN 1.0 ELSE x END y, is_valid FROM (SELECT present / 6.0::DOUBLE * 0.3::DOUBLE * quality x, is_valid FROM c2)) WHERE is_valid)",
+    "c AS (SELECT sum(conf::DECIMAL(28,10))::DOUBLE / count(*) mean FROM c1)"))
 def rule_confidence_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a format that was told with a confidence of 0.3."""
     rows = records(spark, sf_dir, 0.3).where("is_valid")
@@ -170,7 +176,7 @@ def approval_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.needs_approval(found(spark, sf_dir))
 
 
-@query(O.query("SELECT k, id, source_file, validation_flags FROM records WHERE n > 1".replace("records", "(SELECT records.*, r3.n FROM records JOIN r3 USING (k))")))
+@query(O.query("SELECT k, id, source_file, validation_flags FROM (SELECT records.*, r3.n FROM records JOIN r3 USING (k)) WHERE n > 1"))
 def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).where(F.col("validation_flags").contains("DUPLICATE_ID")).select(F.col("_ord").alias("k"), "id", "source_file", "validation_flags")
 
@@ -203,7 +209,7 @@ def audit_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.file_snapshot(valid(spark, sf_dir))
 
 
-@query(O.query("SELECT source_file, a.* FROM anomalies a JOIN (SELECT DISTINCT source_file, psp FROM valid) USING (psp)".replace("a.*", "a.detector, a.severity, psp, a.bank, a.country, a.metric, a.\"value\", a.threshold, a.message, a.requires_approval"), O.GROUPS, O.ANOMALIES))
+@query(O.query("SELECT source_file, a.detector, a.severity, psp, a.bank, a.country, a.metric, a.\"value\", a.threshold, a.message, a.requires_approval FROM anomalies a JOIN (SELECT DISTINCT source_file, psp FROM valid) USING (psp)", O.GROUPS, O.ANOMALIES))
 def anomalies_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid(spark, sf_dir)
     return U.anomalies_per_file(rows, A.detect(M.by_group(rows), rows))
@@ -230,6 +236,11 @@ def audit_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("e.metrics_snapshot.`success_rate_%`").alias("snapshot_success"), joined("human_approval_flags"), F.size("e.anomalies_detected").cast("long").alias("n_anomalies"))
 
 
+@query(O.query("SELECT severity, count(*) n FROM anomalies GROUP BY severity", O.GROUPS, O.ANOMALIES))
+def anomaly_severities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.severity_counts(found(spark, sf_dir))
+
+
 @query(O.query("SELECT * FROM m ORDER BY psp, bank, country LIMIT 25", O.GROUPS))
 def top25_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return U.top_metrics(M.by_group(valid(spark, sf_dir)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+#: The columns of records, of metrics and of raw records, in the order of their files.
 RECORD = ("id guid request request_body timestamp response latency_ms volume psp bank country status error event_type source_file source_format validation_flags is_valid confidence severity").split()
 METRIC = (
     "psp bank country total_ops success_ops failed_ops decline_ops error_count success_rate_% decline_rate_% error_rate_% conversion_rate_% "
     "total_withdrawals_checked job_starts job_finishes job_completion_rate_% avg_latency_ms p50_latency_ms p95_latency_ms max_latency_ms transaction_total_volume").split()
-#: Raw fields that normalisation reads: text, null where a value is absent, empty, zero or false.
+#: Raw fields that normalisation reads: text, null where a value is absent, empty, zero or false.
 RAW = (
     "id tx_id transaction_id guid correlation_id request request_body timestamp time @timestamp response response_body latency_ms latency duration_ms "
     "amount volume transaction_amount psp bank country status error event_type source_file source_format").split()

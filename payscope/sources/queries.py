@@ -22,6 +22,7 @@ from payscope.plans.queries import query
 from payscope.sources import detect, logs, xlsx
 
 _FIELDS = "'tx-' || event_id id, 'PSP_' || event_id % 6 psp, (['ING', 'UniCredit', 'Santander'])[(event_id % 3 + 1)::INT] bank, (['DE', 'FR', 'IT', 'ES'])[(event_id % 4 + 1)::INT] country, CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END status, round(value, 2) amount, round(value * 3, 2) latency, CASE WHEN event_type = 'error' THEN 'TIMEOUT' END error"
+_REST = f"psp, bank, country, status, amount, latency, error FROM (SELECT event_id, event_type, value, {_FIELDS} FROM events)"
 _BACK = f"SELECT id, psp, bank, country, status, amount, latency, error FROM (SELECT {_FIELDS} FROM events)"
 
 
@@ -62,7 +63,7 @@ def azure_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back(logs.azure(as_lines(df, line)))
 
 
-@query(_BACK.replace("SELECT id,", "SELECT 'line-' || substr(id, 4) id,"))
+@query(f"SELECT 'line-' || event_id id, {_REST}")
 def freetext_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rendered(spark, sf_dir)
     line = F.concat(F.col("event_id").cast("string"), F.lit(". "), F.date_format("ts", "yyyy/MM/dd HH:mm:ss"), F.when(F.col("error").isNull(), " - Withdrawal processed").otherwise(" - Withdrawal failed"),
@@ -71,7 +72,7 @@ def freetext_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back(logs.freetext(as_lines(df, line)))
 
 
-@query(_BACK.replace("SELECT id, psp", "SELECT NULL::VARCHAR id, psp"))
+@query(f"SELECT NULL::VARCHAR id, {_REST}")
 def kv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rendered(spark, sf_dir)
     line = F.concat(F.lit("note: withdrawal psp: old PSP: "), "psp", F.lit(" bank: "), "bank", F.lit(" country: "), "country", F.lit(" status: "), F.lower("status"), F.lit(" amount: "), F.col("amount").cast("string"), F.lit(" latency: "), F.col("latency").cast("string"), F.coalesce(F.concat(F.lit(" reason: "), F.lower("error")), F.lit("")))
@@ -104,7 +105,7 @@ def csv_alias_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back(logs.csv(with_header(rendered(spark, sf_dir), "TX_ID, processor,issuer,region,status,value,elapsed,failure_reason", line)))
 
 
-@query(_BACK.replace("SELECT id, psp", "SELECT id, 1.0::DOUBLE field_coverage, psp"))
+@query(f"SELECT id, 1.0::DOUBLE field_coverage, {_REST}")
 def adaptive_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.format_string("payout tx_id=%s psp=%s bank=%s country=%s status=%s amount=%s latency_ms=%s%s", "id", "psp", "bank", "country", "status", F.col("amount").cast("string"), F.col("latency").cast("string"), F.coalesce(F.concat(F.lit(" reason="), "error"), F.lit("")))
     raw = logs.loose(as_lines(rendered(spark, sf_dir), line))
@@ -143,7 +144,7 @@ def _files(df: DataFrame, value) -> DataFrame:
     return df.select(f.alias("path"), f.alias("source_file"), F.struct(f.alias("p"), F.lit(0).cast("bigint").alias("b"), F.col("event_id").alias("i")).alias("_ord"), value.alias("value"))
 
 
-_COVERED = f"SELECT id, 1.0::DOUBLE field_coverage, psp, bank, country, status, amount, latency, error FROM (SELECT event_id, {_FIELDS} FROM events)"
+_COVERED = f"SELECT id, 1.0::DOUBLE field_coverage, {_REST}"
 
 
 def _adapted(raw: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def workbook(rows: list[list]) -> bytes:
     return out.getvalue()
 
 
-@query(f"SELECT id, psp, amount volume, '2026-04-16T10:00:00' AS \"timestamp\", status, true is_valid FROM (SELECT {_FIELDS} FROM events)".replace("round(value, 2) amount", "round(abs(value) + 1, 2) amount"))
+@query("SELECT 'tx-' || event_id id, 'PSP_' || event_id % 6 psp, round(abs(value) + 1, 2) volume, '2026-04-16T10:00:00' AS \"timestamp\", CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END status, true is_valid FROM events")
 def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events in workbooks of up to a thousand rows, read back."""
     df = rendered(spark, sf_dir).withColumn("value", F.round(F.abs(F.col("raw_value")) + 1, 2)).withColumn("file", (F.col("event_id") / 1000).cast("bigint"))
@@ -262,13 +263,45 @@ def xlsx_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.normalize(xlsx.records(files)).select("id", "psp", "volume", "timestamp", "status", "is_valid")
 
 
+@query("""WITH h AS (SELECT event_id k, CASE event_id % 3 WHEN 0 THEN 'k' || event_id || ',psp' WHEN 1 THEN 'psp,k' || event_id ELSE 'bank,country,k' || event_id END header FROM events)
+SELECT k, md5(array_to_string(list_sort(string_split(header, ',')), '|')) fingerprint, CASE WHEN k % 3 = 2 THEN 0.333 ELSE 0.167 END::DOUBLE confidence, 'fmt' || k format_name, CASE WHEN k % 3 = 2 THEN 'bank' ELSE 'psp' END mapped FROM h WHERE k % 2 = 0""")
+def approved_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files told by their headers' fingerprints, met with the formats learned from the same columns in any order; every other is approved."""
+    k = F.col("event_id")
+    odd = F.concat(F.lit("k"), k)
+    e = D.table(spark, sf_dir, "events").select("event_id", F.when(k % 3 == 0, F.array(odd, F.lit("psp"))).when(k % 3 == 1, F.array(F.lit("psp"), odd)).otherwise(F.array(F.lit("bank"), F.lit("country"), odd)).alias("columns"))
+    files = e.select(F.concat(F.lit("file"), "event_id").alias("file_name"), R.fingerprint(F.col("columns")).alias("fingerprint"))
+    formats = e.select(
+        R.fingerprint(F.reverse("columns")).alias("fingerprint"), F.concat(F.lit("fmt"), "event_id").alias("format_name"), F.lit("csv_headers").alias("extraction_hint"), L.mapping_of(F.col("columns")).alias("field_mapping"), (k % 2 == 0).alias("approved"))
+    found = R.approved(formats, files)
+    return found.select(F.substring("file_name", 5, 20).cast("bigint").alias("k"), "fingerprint", L.confidence_of(F.col("field_mapping")).alias("confidence"), "format_name", F.get(F.array_sort(F.map_values("field_mapping")), F.lit(0)).alias("mapped"))
+
+
+@query("""SELECT 'f' || event_id fingerprint, CASE WHEN event_id % 2 = 0 THEN 't1' ELSE 't2' END detected_at, CASE WHEN event_id % 3 = 0 THEN 't1' ELSE 't2' END last_seen,
+  CASE WHEN event_id % 2 = 0 AND event_id % 3 > 0 THEN 2 ELSE 1 END times_seen, CASE WHEN event_id % 2 = 0 AND event_id % 3 > 0 THEN 'old,new' WHEN event_id % 2 = 0 THEN 'old' ELSE 'new' END examples, event_id % 4 = 0 approved
+FROM events WHERE event_id % 2 = 0 OR event_id % 3 > 0""")
+def format_registry_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats of every other event are known, those of two in three are learned (again)."""
+    k = F.col("event_id")
+    e = D.table(spark, sf_dir, "events")
+    none = F.lit(None).cast("string")
+
+    def entry(time, example, approved):
+        return [F.concat(F.lit("f"), k).alias("fingerprint"), F.lit("n").alias("format_name"), F.lit("tabular").alias("structural_type"), time.alias("detected_at"), time.alias("last_seen"), F.lit(1).alias("times_seen"), F.array(F.lit(example)).alias("file_examples"),
+                F.create_map(F.lit("a"), F.lit("psp")).alias("field_mapping"), F.lit("csv_headers").alias("extraction_hint"), F.lit(0.167).alias("learned_confidence"), F.array(F.lit("a")).alias("raw_columns"), F.create_map(F.lit("a"), F.array(F.lit("x"))).alias("sample_values"), approved.alias("approved")]
+
+    merged = R.merged(e.where(k % 2 == 0).select(*entry(F.lit("t1"), "old", k % 4 == 0)), e.where(k % 3 > 0).select(*entry(none, "new", F.lit(False))), "t2")
+    return merged.select("fingerprint", "detected_at", "last_seen", "times_seen", F.array_join("file_examples", ",").alias("examples"), "approved")
+
+
 @query()
 def report_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     from payscope.operators import anomalies as A
 
-    rows = P.valid(spark, sf_dir)
+    rows = P.valid(spark, sf_dir).persist()
     metrics = M.by_group(rows)
     text = report.markdown(rows, metrics, M.by_psp(rows), A.detect(metrics, rows), [{"file": "events", "format": "csv_generic", "confidence": 0.7, "records": rows.count(), "status": "OK"}], "made", 0.0)
+    rows.unpersist()
     return spark.createDataFrame([(i, x) for i, x in enumerate(text.split("\n")) if "Generated" not in x], "line int, text string")
 
 
