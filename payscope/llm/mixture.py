@@ -92,20 +92,20 @@ def permuted(df: DataFrame, out: str, index: Column, n: Column, seed: Column) ->
 def plan(sources: DataFrame, parts: DataFrame, n: int) -> tuple[DataFrame, DataFrame, int, int]:
     """targets() with n_blocks and the range lower .. upper of each source's slots among all; the parts with n_source,
     blocks and base, their first block's number in the source; slots in all, slots of a shard."""
-    known = kept(targets(sources, n))
+    known = materialize(targets(sources, n))
     parts = parts.withColumn("key", key_of("source")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
     # numbered through all parts, then from the first of each source on: no task gets a source's parts
-    parts = kept(lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n).select("key", "n_source", "part", "blocks"))
-    parts = kept(global_running(parts, [F.col("n_source"), F.col("part")], {"at": F.col("blocks")}, parts.count()))
+    listed = materialize(lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n).select("key", "n_source", "part", "blocks"))
+    parts = materialize(global_running(listed, [F.col("n_source"), F.col("part")], {"at": F.col("blocks")}, listed.count()))
     first = parts.groupBy("n_source").agg(F.min("at").alias("first"))
-    parts = kept(lookup(parts, first, "n_source", n).select("key", "n_source", "part", "blocks", (F.col("at") - F.col("first")).alias("base")))
+    parts = materialize(lookup(parts, first, "n_source", n).select("key", "n_source", "part", "blocks", (F.col("at") - F.col("first")).alias("base")))
     blocks = parts.groupBy("n_source").agg(F.sum("blocks").alias("n_blocks"))
     df = known.join(blocks.hint("merge"), "n_source")
     # parts end in a short block: a source's slots number as many as its mean block needs to reach the target
     df = df.withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
     df = global_running(df, [F.col("n_source")], {"slots_before": F.col("slots")}, n)
     df = df.withColumn("lower", F.round("slots_before").cast("long")).withColumn("upper", F.least(F.round(F.col("slots_before") + F.col("slots")).cast("long"), F.col("lower") + MAX_TIMES * F.col("n_blocks")))
-    df = kept(df)
+    df = materialize(df)
     n_slots = df.select(F.coalesce(F.max("upper"), F.lit(0))).first()[0]
     return df, parts, n_slots, max(MIN_SLOTS, SLOTS_PER_SOURCE * n)
 
@@ -160,7 +160,7 @@ def _mixed(docs: DataFrame, doc_id: str, text: str, source: str) -> tuple[DataFr
     read = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").cast("string").alias("source"), n_words(t).alias("size"), F.shiftrightunsigned(F.xxhash64(F.col(f"`{doc_id}`"), t), 2).alias("hash"), t.alias("text"))
     read = read.withColumn("key", key_of("source"))
     whole = narrow = kept(read.drop("text"))
-    sources = kept(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
+    sources = materialize(narrow.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_rows")))
     n = sources.count()
     # all other sources are one part each
     large = sources.where(F.col("n_rows") > PART_ROWS).select(key_of("source").alias("key"), F.ceil(F.col("n_rows") / PART_ROWS).alias("n_parts"))

@@ -200,10 +200,10 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     id holds is linked with equal sets only. Shingles are told by 64-bit hashes. Texts are read whole, however long.
     Empty tables give no rows; other columns, of whatever name, aren't read."""
     rows = materialize(sketches(docs, doc_id, text, width, k, mark))
-    classes = kept(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+    classes = materialize(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     gathered = gatherings(classes, k, least, percent)
     members = classes.select("key", "rep", "n_shingles").join(gathered.withColumnRenamed("node", "key").hint("merge"), "key")
-    members = kept(members)
+    members = materialize(members)
     sizes = kept(members.groupBy("root").agg(F.sum("n_shingles").alias("total"), F.count("*").alias("_n")))
     blocks = F.when(F.col("total") <= max_shingles, F.lit(1)).otherwise(F.ceil(F.col("total") / (max_shingles / 2))).cast("int")
     dealt = skewed(members, sizes, ["root"], "_n", members.count()).withColumn("blocks", blocks)
@@ -244,7 +244,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     if not large.isEmpty():
         parts = _large(large, classes, max_shingles, linked_in)
         label = label.unionByName(components(parts).select(F.col("node").alias("key"), F.col("root").alias("head")).where("key <> head"))
-    named = kept(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
+    named = materialize(classes.select("key", "rep", "copies").join(label.hint("merge"), "key", "left").withColumn("head", F.coalesce("head", "key")))
     least_id = kept(named.groupBy("head").agg(F.min("rep").alias("component"), F.count("*").alias("_n")))
     total = rows.count()
     by_key = kept(skewed(named, least_id, ["head"], "_n", total).select("key", "component", "head", "copies"))
@@ -253,7 +253,7 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int
     out = out.unionByName(found.where("key IS NULL").select("doc_id", "mark", "n_shingles", F.lit(None).cast("bigint").alias("component"), F.lit(None).cast("binary").alias("head")))
     component = F.coalesce("component", "doc_id")
     out = materialize(out.select("doc_id", *["mark", "head"] * bool(mark), "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")))
-    for used in (rows, classes, members, sizes, linked, named, least_id, by_key):
+    for used in (rows, classes, members, sizes, large, linked, named, least_id, by_key):
         release(used)
     return out
 
