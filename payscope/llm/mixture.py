@@ -96,17 +96,18 @@ def plan(sources: DataFrame, parts: DataFrame, n: int) -> tuple[DataFrame, DataF
     parts = parts.withColumn("key", key_of("source")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
     # numbered through all parts, then from the first of each source on: no task gets a source's parts
     listed = materialize(lookup(parts, known.select(key_of("source").alias("key"), "n_source"), "key", n).select("key", "n_source", "part", "blocks"))
-    parts = materialize(global_running(listed, [F.col("n_source"), F.col("part")], {"at": F.col("blocks")}, listed.count()))
-    first = parts.groupBy("n_source").agg(F.min("at").alias("first"))
-    parts = materialize(lookup(parts, first, "n_source", n).select("key", "n_source", "part", "blocks", (F.col("at") - F.col("first")).alias("base")))
+    numbered = materialize(global_running(listed, [F.col("n_source"), F.col("part")], {"at": F.col("blocks")}, listed.count()))
+    first = numbered.groupBy("n_source").agg(F.min("at").alias("first"))
+    parts = materialize(lookup(numbered, first, "n_source", n).select("key", "n_source", "part", "blocks", (F.col("at") - F.col("first")).alias("base")))
     blocks = parts.groupBy("n_source").agg(F.sum("blocks").alias("n_blocks"))
     df = known.join(blocks.hint("merge"), "n_source")
     # parts end in a short block: a source's slots number as many as its mean block needs to reach the target
-    df = df.withColumn("slots", F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0))
-    df = global_running(df, [F.col("n_source")], {"slots_before": F.col("slots")}, n)
-    df = df.withColumn("lower", F.round("slots_before").cast("long")).withColumn("upper", F.least(F.round(F.col("slots_before") + F.col("slots")).cast("long"), F.col("lower") + MAX_TIMES * F.col("n_blocks")))
-    df = materialize(df)
+    wanted = F.when(F.col("source_size") > 0, F.col("target") * F.col("n_blocks") / F.col("source_size")).otherwise(0.0)
+    df = df.withColumn("slots", F.least(F.round(wanted).cast("long"), MAX_TIMES * F.col("n_blocks")))
+    df = materialize(global_running(df, [F.col("n_source")], {"lower": F.col("slots")}, n).withColumn("upper", F.col("lower") + F.col("slots")))
     n_slots = df.select(F.coalesce(F.max("upper"), F.lit(0))).first()[0]
+    for used in (known, listed, numbered):
+        release(used)
     return df, parts, n_slots, max(MIN_SLOTS, SLOTS_PER_SOURCE * n)
 
 
