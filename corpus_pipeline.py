@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.llm import decontaminate, language_id, mixture, near_dedup, secret_scan
-from payscope.llm.common import flagged, kept, materialize, skewed, table
+from payscope.llm.common import flagged, kept, materialize, release, skewed, table
 
 #: Cosine below which a text is taken for no language that the prototypes know.
 MIN_LANGUAGE_SCORE = 0.05
@@ -39,7 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are told apart by a hash of both. Those that surely stay aren't moved."""
     marked = docs.select(F.struct(*_columns(docs)).alias("_row"), "doc_id", "text", F.xxhash64("doc_id", "text").alias("_mark"))
-    found = near_dedup.find(marked.select("doc_id", "text", "_mark"), mark="_mark").where("head IS NOT NULL")
+    told = near_dedup.find(marked.select("doc_id", "text", "_mark"), mark="_mark")
+    found = told.where("head IS NOT NULL")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark"))
     least = kept(found.groupBy("head").agg(first.alias("r"), F.count("*").alias("n")).where("n > 1"))
     sure = skewed(found.select("head", "doc_id", "mark"), least, ["head"], "n", found.count())
@@ -47,6 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # rows of a group of several, but the one that stays; that one too if it stands more than once
     doubt = sure.groupBy("mark").agg(F.max("stays").alias("stays"), F.count("*").alias("times")).where("NOT stays OR times > 1")
     doubt = materialize(doubt.select(F.col("mark").alias("_mark"), "stays"))
+    release(told)
+    release(least)
     rows, n = marked.select("_row", "_mark"), doubt.count()
     met = flagged(rows, doubt, "_mark", n).join(doubt.hint("shuffle_hash"), "_mark", "left")
     parts = [flagged(rows, doubt, "_mark", n, keep=False), met.where("stays IS NULL").select("_row", "_mark"), met.where("stays").select("_row", "_mark").dropDuplicates(["_mark"])]
