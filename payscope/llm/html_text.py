@@ -34,12 +34,16 @@ BOILERPLATE = frozenset(
     "ad ads adv advert adverts advertisement advertising advertorial sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside footer masthead topbar cookie cookies consent gdpr notice notices popup modal overlay newsletter "
     "subscribe subscription signup login comment comments disqus respond reply replies share sharing social related recommended "
-    "complementary contentinfo search alert alertdialog dialog form paywall skip toolbar pager pagination widget widgets".split())
+    "complementary contentinfo search alert alertdialog dialog form paywall skip toolbar pager pagination widget widgets "
+    "commentlist copyright adsbygoogle".split())
 #: Words that say where a block is or what holds it: `site-footer`, `left_sidebar`, `comment-list`; not `has-sidebar`, `notice-period`.
 PLACES = frozenset(
     "site page main top bottom left right upper lower primary secondary global mobile desktop container wrapper wrap box inner outer area section block "
     "list item items link links bar button buttons icon icons post posts article articles story stories content body text title panel column col slot unit "
-    "row group module component region zone sticky fixed floating header head reader user google js id the".split())
+    "row group module component region zone sticky fixed floating header head reader user google facebook twitter fb js id the this tools tool count "
+    "policy message info law accept settings trail teaser billboard leaderboard skyscraper".split())
+#: Words of a header that is the article's own.
+OWN = frozenset("article articles post posts story stories content body text".split())
 READERS = frozenset("comment comments disqus respond reply replies".split())
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: Elements out of which an implied end doesn't reach.
@@ -92,7 +96,7 @@ class Page:
                 if name == "role" and tag in ("div", "section") and tokens in ([{"main"}], [{"article"}]):
                     tag = next(iter(tokens[0]))
                 for words in tokens:
-                    if words & BOILERPLATE and words <= BOILERPLATE | PLACES or not inside and name != "role" and "header" in words and words <= PLACES:
+                    if words & BOILERPLATE and words <= BOILERPLATE | PLACES or not inside and name != "role" and "header" in words and words <= PLACES - OWN:
                         mark = max(mark, BY_READERS if words & READERS else BY_NAME)
             elif name == "style" and re.search(r"display\s*:\s*none", m[0], re.I):
                 return BY_TAG, tag
@@ -264,10 +268,10 @@ class Page:
 
 
 def _tokens(m: re.Match) -> list[set[str]]:
-    """The words of each token of an attribute's value: `siteFooter` and `site-footer` are {site, footer}; digits are no words."""
+    """The words of each token of an attribute's value: `siteFooter` and `site-footer` are {site, footer}; digits and single letters are no words."""
     value = m[2] or m[3] or m[4] or ""
     split = (re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()) for token in value.split())
-    return [words for token in split if (words := set(token) - {""})]
+    return [words for token in split if (words := {w for w in token if len(w) > 1})]
 
 
 def main_text(source: str | None) -> str:

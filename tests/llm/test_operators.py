@@ -429,6 +429,9 @@ def test_html_article_survives_its_wrapper(name):
 def test_html_keeps_what_only_sounds_like_boilerplate():
     page = f"<body>{ARTICLE[:-10]}<p class='notice-period'>One month.</p><p class=related-work>Others too.</p><p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <img src=a>holds<wbr>here.</p><div class='related-posts'>More</div><p class=notice>Notice</p></article></body>"
     assert html_text.main_text(page) == ARTICLE_TEXT + " One month. Others too. So x=2 holdshere."
+    for name in ("ad_300x250", "cookie-policy-banner", "share-this", "siteHeader", "facebook-comments", "ad-slot-1"):
+        assert html_text.main_text(f"<body><div class='{name}'><p>Not this.</p></div>{ARTICLE}") == ARTICLE_TEXT
+    assert html_text.main_text("<body><div class='article-header'><h1>Head</h1></div><p>The text.</p></body>") == "Head The text."
     marked = "<body><div class='sidebar'><p>One of three paragraphs.</p><p>Two of three paragraphs.</p><p>Three of them.</p></div><p>Side.</p></body>"
     assert "Two of three" in html_text.main_text(marked) and html_text.main_text("<body><div class='cookie-notice'><p>Long words about cookies.</p></div></body>") == ""
 
