@@ -31,7 +31,8 @@ PERCENT = 80
 SLACK = 2
 #: Shingles of one gathering that a task takes; larger ones are cut into blocks.
 MAX_SHINGLES = 4_000_000
-MAX_CACHE = 1_000_000
+#: Words whose hashes a worker remembers.
+MAX_CACHE = 250_000
 FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 
 
