@@ -1,4 +1,5 @@
 """Log files of several layouts as raw records: columns of plans.schema.RAW as text, and _ord, the place in the file.
+A number that is zero is null there, as it counts as absent; the column zeros tells its name.
 
 All layouts but spreadsheets are read line by line with Spark's text source, so a file of any size is split. Line order
 comes from the block a line is in and its place in the block's partition.
@@ -88,6 +89,16 @@ def fields(line: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"]++|"")*+"|[^,]*+)'), F.lit(1)), unquoted)
 
 
+def zeros(zero: dict[str, Column]) -> Column:
+    """The names of the numbers that are zero: they count as absent, as null does, but were given."""
+    return F.array_compact(F.array(*[F.when(z, n) for n, z in zero.items()])).cast("array<string>").alias("zeros")
+
+
+def is_zero(v: Column) -> Column:
+    """Whether a variant is a number that is zero; a text isn't."""
+    return F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE)") & (F.try_variant_get(v, "$", "double") == 0)
+
+
 def truthy(v: Column) -> Column:
     """A variant as text; null where it is null, false, zero, empty or a nested value without content."""
     return let(v, _truthy)
@@ -235,7 +246,8 @@ def csv(raw: DataFrame, source_format: str = "csv_generic", loose_: bool = False
     zero = lambda k: F.when(number(value(k)) != 0, value(k))
     names = [n for n in S.RAW if n not in ("source_file", "source_format", "latency_ms", "amount")]
     numbers = [value(c).alias(c) if loose_ else zero(c).alias(c) for c in ("latency_ms", "amount")]
-    out = rows.select("path", "_ord", "source_file", F.lit(source_format).alias("source_format"), *[value(n).alias(n) for n in names], *numbers, F.exists("e", lambda x: x["n"] == "request").alias("_given"), F.array_join("e.v", " ").alias("_every"))
+    none = zeros({} if loose_ else {c: number(value(c)) == 0 for c in ("latency_ms", "amount")})
+    out = rows.select("path", "_ord", "source_file", F.lit(source_format).alias("source_format"), *[value(n).alias(n) for n in names], *numbers, none, F.exists("e", lambda x: x["n"] == "request").alias("_given"), F.array_join("e.v", " ").alias("_every"))
     request = F.when(F.col("_given") | F.lit(loose_), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
     return out.where(is_withdrawal(request, F.col("psp"), F.col("event_type"), F.concat_ws(" ", "_every", "source_file", "source_format"))).drop("_given", "_every")
 

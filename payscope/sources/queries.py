@@ -46,7 +46,8 @@ def with_header(df: DataFrame, header: str, value, path: str = "made") -> DataFr
 
 
 def back(raw: DataFrame, id_=None) -> DataFrame:
-    return raw.select((F.col("id") if id_ is None else id_).alias("id"), "psp", "bank", "country", "status", number(F.col("amount")).alias("amount"), number(F.col("latency_ms")).alias("latency"), "error")
+    value = lambda c: F.when(F.array_contains("zeros", c), 0.0).otherwise(number(F.col(c))) if "zeros" in raw.columns else number(F.col(c))
+    return raw.select((F.col("id") if id_ is None else id_).alias("id"), "psp", "bank", "country", "status", value("amount").alias("amount"), value("latency_ms").alias("latency"), "error")
 
 
 def _json(names: dict[str, str], nested: bool = False):
