@@ -136,12 +136,13 @@ def azure(raw: DataFrame) -> DataFrame:
     out = row.select(
         "path", "_ord", "source_file", F.lit("azure_withdrawal_csv").alias("source_format"), filled(at(0)).alias("timestamp"), filled(at(1)).alias("id"), filled(at(2)).alias("request"), filled(at(3)).alias("guid"),
         F.when(number(at(7)) != 0, at(7)).alias("latency_ms"), filled(at(9)).alias("event_type"), *[part(k).alias(k) for k in ("psp", "bank", "country", "status", "amount", "error")],
-        F.when(F.col("v").isNotNull(), F.col("body")).alias("request_body"))
+        F.when(F.col("v").isNotNull(), F.col("body")).alias("request_body"),
+        zeros({"latency_ms": number(at(7)) == 0, "amount": is_zero(F.try_variant_get("v", "$.amount", "variant"))}))
     return _withdrawals(out)
 
 
 def _withdrawals(df: DataFrame) -> DataFrame:
-    every = F.concat_ws(" ", *[F.col(f"`{c}`") for c in df.columns if not c.startswith("_") and c != "path"])
+    every = F.concat_ws(" ", *[F.col(f"`{c}`") for c in df.columns if not c.startswith("_") and c not in ("path", "zeros")])
     none = F.lit(None).cast("string")
     has = lambda c: F.col(c) if c in df.columns else none
     return df.where(is_withdrawal(has("request"), has("psp"), has("event_type"), every))
