@@ -173,7 +173,8 @@ def freetext(raw: DataFrame) -> DataFrame:
     return row.select(
         "path", "_ord", "source_file", F.lit("freetext_numbered").alias("source_format"), F.when(F.col("full"), group(2)).alias("timestamp"),
         F.when(F.col("full"), F.concat(F.lit("line-"), group(1))).alias("id"), F.lit(S.DEFAULT_REQUEST).alias("request"), F.lit("request").alias("event_type"),
-        "psp", "bank", "country", F.upper("status").alias("status"), zero("amount").alias("amount"), zero("latency_ms").alias("latency_ms"), F.upper("error").alias("error"))
+        "psp", "bank", "country", F.upper("status").alias("status"), zero("amount").alias("amount"), zero("latency_ms").alias("latency_ms"), F.upper("error").alias("error"),
+        zeros({c: number(F.col(c)) == 0 for c in ("amount", "latency_ms")}))
 
 
 # JSON --------------------------------------------------------------------------------------------------------------
