@@ -196,11 +196,12 @@ def json_objects(raw: DataFrame, text: str = "value", source_format: str = "json
     flat = F.flatten(F.transform("m", lambda e: F.when(F.schema_of_variant(e["value"]).startswith("OBJECT"), F.coalesce(inner(e["value"]), F.array().cast(entries))).otherwise(F.array(e))))
     named = F.transform(flat, lambda e: F.struct(canonical(e["key"]).alias("key"), e["value"].alias("value")))
     row = row.withColumn("e", named)
-    value = lambda k: truthy(F.try_element_at(F.filter("e", lambda x: x["key"] == k), F.lit(-1))["value"])
+    held = lambda k: F.try_element_at(F.filter("e", lambda x: x["key"] == k), F.lit(-1))["value"]
+    value = lambda k: truthy(held(k))
     given = F.exists("e", lambda x: x["key"] == "request")
     every = F.array_join(F.transform("e", lambda x: F.coalesce(F.try_variant_get(x["value"], "$", "string"), F.lit("None"))), " ")
     names = [n for n in S.RAW if n not in ("source_file", "source_format")]
-    row = row.select("path", "_ord", "source_file", F.coalesce(value("source_format"), F.lit(source_format)).alias("source_format"), *[value(n).alias(n) for n in names], given.alias("_given"), every.alias("_every"), F.coalesce(value("provider"), value("psp_name")).alias("_provider"))
+    row = row.select("path", "_ord", "source_file", F.coalesce(value("source_format"), F.lit(source_format)).alias("source_format"), *[value(n).alias(n) for n in names], zeros({n: is_zero(held(n)) for n in S.NUMBERS}), given.alias("_given"), every.alias("_every"), F.coalesce(value("provider"), value("psp_name")).alias("_provider"))
     request = F.when(F.col("_given") | F.lit(loose_), F.coalesce("request", F.lit(""))).otherwise(F.lit(S.DEFAULT_REQUEST))
     return row.where(is_withdrawal(request, F.coalesce("psp", "_provider"), F.col("event_type"), F.concat_ws(" ", "_every", "source_file", "source_format"))).drop("_given", "_every", "_provider")
 

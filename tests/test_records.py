@@ -110,11 +110,21 @@ def zeros_back(spark, folder, name):
     assert sorted(map(str, got)) == sorted(map(str, cur.fetchall())) and any(0.0 in r for r in got)
 
 
-@pytest.mark.parametrize("name", ["azure_roundtrip", "csv_alias_roundtrip", "freetext_roundtrip", "kv_fallback"])
+@pytest.mark.parametrize("name", ["azure_roundtrip", "csv_alias_roundtrip", "freetext_roundtrip", "jsonl_roundtrip", "kv_fallback"])
 def test_zeros_come_back(spark, tmp_path, name):
     zeros_back(spark, tmp_path, name)
 
 
+def test_zeros_are_named_and_count_as_absent(spark, tmp_path):
+    objects = [{"psp": "P", "amount": 0.0, "volume": 5, "latency": "0"}, {"psp": "P", "amount": "0", "volume": -0.0, "latency": 0}, {"psp": "P", "amount": None, "latency": False}]
+    (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, objects)))
+    raw = logs.json_objects(logs.lines(spark, str(tmp_path / "a.jsonl")))
+    assert [(r["amount"], r["volume"], r["latency_ms"], sorted(r["zeros"])) for r in raw.orderBy("_ord").collect()] == [
+        (None, "5", "0", ["amount"]), ("0", None, None, ["latency_ms", "volume"]), (None, None, None, [])]
+    flags = [(r["volume"], r["validation_flags"]) for r in N.normalize(raw).orderBy("_ord").collect()]
+    assert flags == [(5.0, "LATENCY_OUT_OF_RANGE:0.0|MISSING_TIMESTAMP"), (None, "VOLUME_OUT_OF_RANGE:0.0|MISSING_TIMESTAMP"), (None, "MISSING_TIMESTAMP")]
+
+
 def test_run_over_a_folder(spark, tmp_path):
     logs_ = tmp_path / "in"
     logs_.mkdir()
