@@ -329,10 +329,10 @@ def _mapping(mapping: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]) if mapping else F.create_map().cast("map<string,string>")
 
 
-def _named(rows: DataFrame, value) -> DataFrame:
+def _named(rows: DataFrame, value, zero: dict[str, Column] | None = None) -> DataFrame:
     """What entries `e` hold of each raw field; a learned format's records carry no file and no format."""
     names = [n for n in S.RAW if n not in ("source_file", "source_format")]
-    out = rows.select("path", "_ord", F.lit("").alias("source_file"), F.lit("").alias("source_format"), *[value(n).alias(n) for n in names], F.array_join(F.transform("e", lambda x: F.coalesce(x["value"].cast("string"), F.lit("None"))), " ").alias("_every"))
+    out = rows.select("path", "_ord", F.lit("").alias("source_file"), F.lit("").alias("source_format"), *[value(n).alias(n) for n in names], zeros(zero or {}), F.array_join(F.transform("e", lambda x: F.coalesce(x["value"].cast("string"), F.lit("None"))), " ").alias("_every"))
     return out.where(is_withdrawal(F.col("request"), F.col("psp"), F.col("event_type"), F.col("_every"))).drop("_every")
 
 
@@ -350,7 +350,8 @@ def learned_json(raw: DataFrame, mapping: dict[str, str], format_name: str = "")
     rows = raw.where(stripped(F.col("value")).startswith("{")).withColumn("m", F.map_entries(F.from_json("value", "map<string,variant>"))).where("m IS NOT NULL")
     rows = rows.withColumn("v", remapped(F.col("m"), _mapping(mapping)))
     texts = F.transform("v", lambda x: F.struct(x["key"].alias("key"), F.try_variant_get(x["value"], "$", "string").alias("value")))
-    return _named(rows.withColumn("e", texts), lambda k: truthy(F.try_element_at(F.filter("v", lambda x: x["key"] == k), F.lit(-1))["value"]))
+    held = lambda k: F.try_element_at(F.filter("v", lambda x: x["key"] == k), F.lit(-1))["value"]
+    return _named(rows.withColumn("e", texts), lambda k: truthy(held(k)), {n: is_zero(held(n)) for n in S.NUMBERS})
 
 
 def learned_text(raw: DataFrame, mapping: dict[str, str], format_name: str) -> DataFrame:
