@@ -284,7 +284,9 @@ def loose(raw: DataFrame) -> DataFrame:
 
 
 def _covered(df: DataFrame) -> DataFrame:
-    return df.withColumn("field_coverage", coverage([F.col(c) for c in ("psp", "bank", "country", "status", "amount", "latency_ms")]))
+    """With field_coverage; a number that is zero was given."""
+    given = lambda c: F.when(F.array_contains("zeros", c), "0").otherwise(F.col(c)) if "zeros" in df.columns else F.col(c)
+    return df.withColumn("field_coverage", coverage([given(c) for c in ("psp", "bank", "country", "status", "amount", "latency_ms")]))
 
 
 def adaptive(raw: DataFrame, whole: DataFrame | None = None) -> DataFrame:
