@@ -110,7 +110,7 @@ def zeros_back(spark, folder, name):
     assert sorted(map(str, got)) == sorted(map(str, cur.fetchall())) and any(0.0 in r for r in got)
 
 
-@pytest.mark.parametrize("name", ["adaptive_json_array", "azure_roundtrip", "csv_alias_roundtrip", "freetext_roundtrip", "json_array_roundtrip", "jsonl_roundtrip", "kv_fallback", "tier0_json"])
+@pytest.mark.parametrize("name", ["adaptive_json_array", "adaptive_json_lines", "azure_roundtrip", "csv_alias_roundtrip", "freetext_roundtrip", "json_array_roundtrip", "jsonl_roundtrip", "kv_fallback", "tier0_json"])
 def test_zeros_come_back(spark, tmp_path, name):
     zeros_back(spark, tmp_path, name)
 
