@@ -6,7 +6,7 @@ import io
 import zipfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscope.functions.scalars import number
@@ -26,13 +26,18 @@ _REST = f"psp, bank, country, status, amount, latency, error FROM (SELECT event_
 _BACK = f"SELECT id, psp, bank, country, status, amount, latency, error FROM (SELECT {_FIELDS} FROM events)"
 
 
+def cents(x) -> Column:
+    """To two decimals as the SQL has it: the scaled double is rounded, so 1.005, which is 100.49999999999999 cents, gives 1.0."""
+    return F.round(x * 100) / 100
+
+
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, k = D.table(spark, sf_dir, "events"), F.col("event_id")
     pick = lambda *v: F.element_at(F.array(*map(F.lit, v)), (k % len(v) + 1).cast("int"))
     bad = F.col("event_type") == "error"
     return e.select(
         k, F.col("ts"), F.concat(F.lit("tx-"), k).alias("id"), F.concat(F.lit("PSP_"), k % 6).alias("psp"), pick("ING", "UniCredit", "Santander").alias("bank"), pick("DE", "FR", "IT", "ES").alias("country"),
-        F.when(bad, "FAILED").otherwise("SUCCESS").alias("status"), F.round("value", 2).alias("amount"), F.col("value").alias("raw_value"), F.round(F.col("value") * 3, 2).alias("latency"), F.when(bad, "TIMEOUT").alias("error"))
+        F.when(bad, "FAILED").otherwise("SUCCESS").alias("status"), cents(F.col("value")).alias("amount"), F.col("value").alias("raw_value"), cents(F.col("value") * 3).alias("latency"), F.when(bad, "TIMEOUT").alias("error"))
 
 
 def as_lines(df: DataFrame, value, path: str = "made") -> DataFrame:

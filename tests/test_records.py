@@ -115,6 +115,23 @@ def test_zeros_come_back(spark, tmp_path, name):
     zeros_back(spark, tmp_path, name)
 
 
+def against_sql(spark, folder, name, events):
+    """A query over events made from the smallest ones, of which _e is the table, against its SQL."""
+    from payscope.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"COPY (WITH _e AS (SELECT * FROM '{SF}/events.parquet' WHERE event_id < 40) {events}) TO '{folder}/events.parquet' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet'")
+    cur = con.execute(ORACLES[name])
+    names = [c[0] for c in cur.description]
+    got = [tuple(r[n] for n in names) for r in QUERIES[name](spark, str(folder)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, cur.fetchall()))
+
+
+def test_rounding_is_that_of_the_sql(spark, tmp_path):
+    against_sql(spark, tmp_path, "json_array_roundtrip", "SELECT * REPLACE ([1.005, 2.675, 0.125, 1.115, 8.345, 0.335, 33.3333333, 1e7 + 0.005][event_id % 8 + 1] AS value) FROM _e")
+
+
 def test_zeros_are_named_and_count_as_absent(spark, tmp_path):
     objects = [{"psp": "P", "amount": 0.0, "volume": 5, "latency": "0"}, {"psp": "P", "amount": "0", "volume": -0.0, "latency": 0}, {"psp": "P", "amount": None, "latency": False}]
     (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, objects)))
