@@ -31,6 +31,11 @@ def cents(x) -> Column:
     return F.round(x * 100) / 100
 
 
+def plain(x) -> Column:
+    """A number as lines of text hold it, without an exponent; null where it has no such text."""
+    return x.try_cast("decimal(38,2)").cast("string")
+
+
 def rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, k = D.table(spark, sf_dir, "events"), F.col("event_id")
     pick = lambda *v: F.element_at(F.array(*map(F.lit, v)), (k % len(v) + 1).cast("int"))
@@ -81,7 +86,8 @@ def freetext_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT NULL::VARCHAR id, {_REST}")
 def kv_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = rendered(spark, sf_dir)
-    line = F.concat(F.lit("note: withdrawal psp: old PSP: "), "psp", F.lit(" bank: "), "bank", F.lit(" country: "), "country", F.lit(" status: "), F.lower("status"), F.lit(" amount: "), F.col("amount").cast("string"), F.lit(" latency: "), F.col("latency").cast("string"), F.coalesce(F.concat(F.lit(" reason: "), F.lower("error")), F.lit("")))
+    given = lambda n, v: F.coalesce(F.concat(F.lit(f" {n}: "), v), F.lit(""))
+    line = F.concat(F.lit("note: withdrawal psp: old PSP: "), "psp", F.lit(" bank: "), "bank", F.lit(" country: "), "country", F.lit(" status: "), F.lower("status"), given("amount", plain(F.col("amount"))), given("latency", plain(F.col("latency"))), given("reason", F.lower("error")))
     return back(logs.freetext(as_lines(df, line)))
 
 

@@ -132,6 +132,10 @@ def test_rounding_is_that_of_the_sql(spark, tmp_path):
     against_sql(spark, tmp_path, "json_array_roundtrip", "SELECT * REPLACE ([1.005, 2.675, 0.125, 1.115, 8.345, 0.335, 33.3333333, 1e7 + 0.005][event_id % 8 + 1] AS value) FROM _e")
 
 
+def test_missing_and_large_numbers_in_text(spark, tmp_path):
+    against_sql(spark, tmp_path, "kv_fallback", "SELECT * REPLACE ([NULL, 1e7, 12345678.91, 4e6, 1e20, 0.004, 0.01, 1000][event_id % 8 + 1] AS value) FROM _e")
+
+
 def test_zeros_are_named_and_count_as_absent(spark, tmp_path):
     objects = [{"psp": "P", "amount": 0.0, "volume": 5, "latency": "0"}, {"psp": "P", "amount": "0", "volume": -0.0, "latency": 0}, {"psp": "P", "amount": None, "latency": False}]
     (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, objects)))
