@@ -55,9 +55,9 @@ def with_header(df: DataFrame, header: str, value, path: str = "made") -> DataFr
     return as_lines(df, value, path).unionByName(first)
 
 
-def back(raw: DataFrame, id_=None) -> DataFrame:
+def back(raw: DataFrame, id_=None, more: tuple[str, ...] = ()) -> DataFrame:
     value = lambda c: F.when(F.array_contains("zeros", c), 0.0).otherwise(number(F.col(c))) if "zeros" in raw.columns else number(F.col(c))
-    return raw.select((F.col("id") if id_ is None else id_).alias("id"), "psp", "bank", "country", "status", value("amount").alias("amount"), value("latency_ms").alias("latency"), "error")
+    return raw.select((F.col("id") if id_ is None else id_).alias("id"), "psp", "bank", "country", "status", value("amount").alias("amount"), value("latency_ms").alias("latency"), "error", *more)
 
 
 def _json(names: dict[str, str], nested: bool = False):
@@ -160,7 +160,7 @@ _COVERED = f"SELECT id, 1.0::DOUBLE field_coverage, {_REST}"
 
 
 def _adapted(raw: DataFrame) -> DataFrame:
-    return back(raw).join(raw.select("id", "field_coverage"), "id")
+    return back(raw, more=("field_coverage",))
 
 
 @query(f"{_COVERED} WHERE event_id % 10 < 5 OR event_id % 20 < 10")

@@ -136,6 +136,10 @@ def test_missing_and_large_numbers_in_text(spark, tmp_path):
     against_sql(spark, tmp_path, "kv_fallback", "SELECT * REPLACE ([NULL, 1e7, 12345678.91, 4e6, 1e20, 0.004, 0.01, 1000][event_id % 8 + 1] AS value) FROM _e")
 
 
+def test_events_given_twice_are_two_records(spark, tmp_path):
+    against_sql(spark, tmp_path, "adaptive_json_lines", "SELECT * FROM _e UNION ALL SELECT * FROM _e WHERE event_id < 4")
+
+
 def test_zeros_are_named_and_count_as_absent(spark, tmp_path):
     objects = [{"psp": "P", "amount": 0.0, "volume": 5, "latency": "0"}, {"psp": "P", "amount": "0", "volume": -0.0, "latency": 0}, {"psp": "P", "amount": None, "latency": False}]
     (tmp_path / "a.jsonl").write_text("\n".join(map(json.dumps, objects)))
