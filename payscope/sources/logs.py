@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,8 @@ from payscope.plans.normalize import is_withdrawal
 FIELD = r'(?:"(?:[^"]++|"")*+"|[^,]*+)'
 #: Files up to which what is known of each is broadcast to its lines.
 FILES = 50_000
+#: Bytes up to which the first lines of files are broadcast: one can be all of its file's text.
+BYTES = 8 << 20
 #: Characters of a row that quotes hold together over several lines; a longer one is taken for lines with a stray quote.
 ROW_CHARS = 131_072
 
@@ -32,17 +35,31 @@ def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         F.struct(F.col(m + "file_path").alias("p"), F.col(m + "file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_ord"), "value")
 
 
-def small(table: DataFrame) -> DataFrame:
-    """A table of at most FILES rows as values that are broadcast, without its lineage; a larger one to be dealt by its key."""
-    rows = table.take(FILES + 1)
-    if len(rows) > FILES:
-        return table.hint("merge")
-    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+def few(table: DataFrame, wide: bool = False) -> list | None:
+    """The rows of a table of at most FILES rows, else None. wide: rows can be of any length, and are asked for only if all hold at most BYTES."""
+    if not wide:
+        rows = table.take(FILES + 1)
+        return rows if len(rows) <= FILES else None
+    held = table.persist(StorageLevel.DISK_ONLY)
+    try:
+        n, size = held.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))).first()
+        return held.collect() if n <= FILES and size <= BYTES else None
+    finally:
+        held.unpersist()
 
 
-def per_file(raw: DataFrame, table: DataFrame) -> DataFrame:
+def dealt(table: DataFrame, rows: list | None) -> DataFrame:
+    """A table as values that are broadcast, without its lineage, if few() gave its rows; else to be dealt by its key."""
+    return table.hint("merge") if rows is None else F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
+
+
+def small(table: DataFrame, wide: bool = False) -> DataFrame:
+    return dealt(table, few(table, wide))
+
+
+def per_file(raw: DataFrame, table: DataFrame, wide: bool = False) -> DataFrame:
     """raw joined on path with a table of one row for each file: broadcast up to FILES rows, so one large file isn't one task's."""
-    return raw.join(small(table), "path")
+    return raw.join(small(table, wide), "path")
 
 
 def logical(raw: DataFrame) -> DataFrame:
@@ -234,7 +251,7 @@ def headers(raw: DataFrame) -> DataFrame:
 def _cells(raw: DataFrame) -> DataFrame:
     """Rows under a header: names and cells, an array of the row's fields; blank lines are no rows."""
     raw = logical(raw)
-    return per_file(raw, headers(raw)).where("_ord <> _first AND value <> ''").withColumn("cells", fields(F.col("value")))
+    return per_file(raw, headers(raw), wide=True).where("_ord <> _first AND value <> ''").withColumn("cells", fields(F.col("value")))
 
 
 def csv(raw: DataFrame, source_format: str = "csv_generic", loose_: bool = False) -> DataFrame:
@@ -297,27 +314,30 @@ def adaptive(raw: DataFrame, whole: DataFrame | None = None) -> DataFrame:
     text = stripped(F.col("value"))
     object_ = text.startswith("{") & F.schema_of_variant(_parsed(text)).startswith("OBJECT")
     told = raw.groupBy("path").agg(F.count_if(text != "").alias("n"), F.count_if(F.coalesce(object_, F.lit(False))).alias("objects"))
-    cells = _cells(raw)
-    # a row longer than its header has no name for what is left over, so the file isn't read this way
-    rows = cells.groupBy("path").agg(F.max(F.size("cells") - F.size("names")).alias("over"), F.min(F.size(F.array_distinct("names"))).alias("width"))
-    told = told.join(rows, "path", "left")
     array = F.lit(False)
     if whole is not None:
         first = F.get(F.from_json("value", "array<variant>"), F.lit(0))
         arrays = whole.where(stripped(F.col("value")).startswith("[")).select("path", F.schema_of_variant(first).startswith("OBJECT").alias("array"))
         told = told.join(arrays, "path", "left")
         array = F.coalesce("array", F.lit(False))
-    tier = F.when(array, 1).when((F.col("objects") > 0) & (F.col("objects") / F.col("n") >= HALF), 2).when((F.col("width") >= LEAST_NAMES) & (F.col("over") <= 0), 3).otherwise(4)
-    told = told.select("path", tier.alias("_tier"))
-    rows = told.take(FILES + 1)
-    few = len(rows) <= FILES
-    told = F.broadcast(raw.sparkSession.createDataFrame(rows, told.schema)) if few else told.hint("merge")
+    told = told.select("path", F.when(array, 1).when((F.col("objects") > 0) & (F.col("objects") / F.col("n") >= HALF), 2).alias("_tier"))
+    rows = few(told)
+    if rows is None or any(r["_tier"] is None for r in rows):
+        # headers are asked of the other files only: the first line of an array can be all of it
+        told = dealt(told, rows)
+        cells = _cells(raw.join(told.where("_tier IS NULL").drop("_tier"), "path"))
+        # a row longer than its header has no name for what is left over, so the file isn't read this way
+        widths = cells.groupBy("path").agg(F.max(F.size("cells") - F.size("names")).alias("over"), F.min(F.size(F.array_distinct("names"))).alias("width"))
+        table = F.when((F.col("width") >= LEAST_NAMES) & (F.col("over") <= 0), 3).otherwise(4)
+        told = told.join(widths, "path", "left").select("path", F.coalesce("_tier", table).alias("_tier"))
+        rows = few(told)
+    told = dealt(told, rows)
     of = lambda df, k: df.join(told, "path").where(F.col("_tier") == k).drop("_tier")
     name = "adaptive_unknown"
     readers = {
         1: lambda: _covered(json_objects(elements(of(whole, 1)), source_format=name, loose_=True)), 2: lambda: _covered(json_objects(of(raw, 2), source_format=name, loose_=True)),
         3: lambda: _covered(csv(of(raw, 3), name, loose_=True)), 4: lambda: loose(of(raw, 4))}
-    wanted = {r["_tier"] for r in rows} if few else set(readers) - {1} | ({1} if whole is not None else set())
+    wanted = {r["_tier"] for r in rows} if rows is not None else set(readers) - {1} | ({1} if whole is not None else set())
     parts = [readers[k]() for k in sorted(wanted | {4})]
     return together(parts)
 

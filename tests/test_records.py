@@ -231,6 +231,21 @@ def test_adaptive_cascade(spark, tmp_path):
     assert sorted((r["source_file"][:-4], r["psp"]) for r in got if not r["id"]) == [("array", None), ("over", "U")]
 
 
+@pytest.mark.parametrize("layout", ["array", "csv", "text"])
+def test_first_lines_stay_on_the_executors(spark, tmp_path, monkeypatch, layout):
+    """A file's first line can be all of its text: it isn't sent to the driver, and all records come."""
+    note = "".join(chr(97 + i * i % 23) for i in range(20_000))
+    text = {"array": json.dumps([{"id": str(i), "psp": "A", "note": note} for i in range(3)]), "csv": f"id,psp,{note}\n" + "".join(f"{i},A,x\n" for i in range(3)), "text": f"{note}\n" + "".join(f"payout id={i} psp=A\n" for i in range(3))}[layout]
+    for k in range(4):
+        (tmp_path / f"{k}.log").write_text(text)
+    monkeypatch.setattr(logs, "BYTES", 10_000, raising=False)
+    frame, sent = type(spark.range(0)), []
+    monkeypatch.setattr(frame, "collect", lambda self, f=frame.collect: sent.append(f(self)) or sent[-1])
+    raw = logs.adaptive(logs.lines(spark, str(tmp_path)), logs.whole_files(spark, str(tmp_path)))
+    assert sent and len(str(sent)) < 10_000
+    assert sorted((r["source_file"], r["id"], r["psp"]) for r in raw.collect()) == [(f"{k}.log", str(i), "A") for k in range(4) for i in range(3)]
+
+
 def test_rows_over_several_lines(spark, tmp_path):
     import csv
     import io
